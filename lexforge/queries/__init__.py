@@ -1,0 +1,7 @@
+"""Queries over the given tables, one or more per operator, each with its SQL equivalent."""
+
+from lexforge.queries import crossing, dictionary, ranks, readings, symbols
+
+ALL = {}
+for module in (ranks, dictionary, symbols, readings, crossing):
+    ALL |= module.QUERIES
