@@ -12,6 +12,15 @@ def order_by_rank(df: DataFrame, rank: str, key: str, nulls_first: bool = True)
     return df.orderBy(first, F.asc(key))
 
 
+def widen(df: DataFrame) -> DataFrame:
+    """Spread the rows of a scan that has fewer partitions than the cluster has cores.
+
+    For costly work per row on a few files that cannot be split. A large scan is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def more_than(df: DataFrame, column: str, bound: int) -> DataFrame:
     return df.filter(F.col(column) > bound)
 

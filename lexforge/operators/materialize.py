@@ -27,6 +27,21 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     This cuts the lineage, survives the loss of executors, and gives the planner true sizes.
     """
     spark = df.sparkSession
-    path = f"{work_dir(spark).rstrip('/')}/lexforge-{name}-{uuid.uuid4().hex}"
+    path = work_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path below this application's part of the shared folder."""
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{work_dir(spark).rstrip('/')}/lexforge-{spark.sparkContext.applicationId}"
+
+
+def drop_work_tables(spark: SparkSession) -> None:
+    """Delete all tables this application materialized; plans that read them can no longer run."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -22,16 +22,18 @@ def nest(df: DataFrame, key: str, item: Column, out: str, order: Sequence[Column
     so that no task has to hold the whole list of a hot key. All items are kept.
     """
     names = [c for c, t in df.dtypes if not t.startswith("map")]
-    counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > part_rows)
+    # keys go by their hash, which is never null; two keys that share one may only be split once more
+    hashed = F.xxhash64(key).alias("_hash")
+    counts = df.groupBy(hashed).agg(F.count("*").alias("_n")).filter(F.col("_n") > part_rows)
     hot = materialize(
-        counts.select(key, F.ceil(F.col("_n") / F.lit(part_rows)).cast("int").alias("_parts")), "hot"
+        counts.select("_hash", F.ceil(F.col("_n") / F.lit(part_rows)).cast("int").alias("_parts")), "hot"
     )
     if hot.isEmpty():
         parted = df.withColumn(part, F.lit(0))
     else:
-        spread_out = spread(names, 1 << 20)
-        parted = lookup_join(df, hot, [key]).withColumn(
-            part, F.coalesce(F.pmod(spread_out, F.col("_parts")), F.lit(0))
+        marked = df.select("*", hashed, spread(names, 1 << 20).alias("_at"))
+        parted = lookup_join(marked, hot, ["_hash"]).withColumn(
+            part, F.coalesce(F.pmod("_at", "_parts"), F.lit(0))
         )
     sorting = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], item.alias("_item"))
     nested = parted.groupBy(key, part).agg(F.array_sort(F.collect_list(sorting)).alias(out))

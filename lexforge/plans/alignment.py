@@ -77,18 +77,16 @@ def align_readings(words: DataFrame, candidates: DataFrame, word: str, reading:
         chars,
         lambda c: F.when(is_symbol(c, symbol), F.try_element_at(F.col("_known"), c)).otherwise(F.array(to_hiragana(c))),
     )
-    path = F.coalesce(
-        F.col("_path"),
-        # in the fallback only the first symbol has a reading
-        F.transform(
-            F.col("_chars"),
-            lambda c, i: F.when(
-                i == F.array_position(F.transform("_chars", lambda d: is_symbol(d, symbol)), F.lit(True)) - 1,
-                _middle(F.col(word), F.col(reading), symbol),
-            ).otherwise(""),
-        ),
-    )
     split = known.withColumn("_chars", chars).withColumn("_path", _split_reading(choices, F.col(reading)))
+    size = F.size("_chars")
+    first = F.array_position(F.transform("_chars", lambda c: is_symbol(c, symbol)), F.lit(True)).cast("int")
+    blank = F.lit("")
+    fallback = F.concat(
+        F.array_repeat(blank, first - 1),
+        F.array(_middle(F.col(word), F.col(reading), symbol)),
+        F.array_repeat(blank, size - first),
+    )
+    path = F.coalesce(F.col("_path"), fallback)
     paired = F.filter(
         F.transform(
             F.arrays_zip(F.col("_chars").alias("kanji"), path.alias("reading")),

@@ -27,8 +27,15 @@ def words_per_symbol(vocabulary: DataFrame, word: str = "word", columns: Sequenc
 
 def symbols_with_words(symbols: DataFrame, per_symbol: DataFrame, key: str = "kanji") -> DataFrame:
     """The symbol table with its words; a symbol without words has a null list in part 0."""
-    joined = symbols.join(per_symbol, symbols[key] == per_symbol["vocabK"], "left").drop("vocabK")
-    return joined.withColumn("part", F.coalesce("part", F.lit(0)))
+    lists = per_symbol.withColumnRenamed("vocabK", key)
+    columns = [*symbols.columns, "part", "vocabsPerKanji"]
+    # the parts of a hot symbol must not meet in one task, so they are the big side of the join
+    found = lookup_join(lists, symbols, [key], "inner")
+    missing = symbols.join(lists.select(key).distinct(), key, "left_anti")
+    empty = F.lit(None).cast(per_symbol.schema["vocabsPerKanji"].dataType)
+    return found.select(*columns).unionByName(
+        missing.select("*", F.lit(0).alias("part"), empty.alias("vocabsPerKanji"))
+    )
 
 
 def symbols_per_word(vocabulary: DataFrame, symbols: DataFrame, word: str = "word", key: str = "kanji",

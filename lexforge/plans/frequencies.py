@@ -41,11 +41,9 @@ def compile_stacked(counts: DataFrame, prefixes: Sequence[str], key: str = "freq
             F.max(F.when(F.col("corpus") == prefix, F.col(source))).alias(prefix + suffix)
             for prefix in prefixes
             for suffix, source in fields.items()
-        ],
-        F.count("*").alias("_corpora"),
+        ]
     )
     total = reduce(lambda a, b: a + b, [F.col(p + "Rank") for p in prefixes])
-    kept = wide.filter(F.col("_corpora") == len(prefixes)).drop("_corpora").withColumn(
-        "avgRank", total / F.lit(float(len(prefixes)))
-    )
+    # the sum is null where a corpus lacks the symbol
+    kept = wide.withColumn("avgRank", total / F.lit(float(len(prefixes)))).filter(F.col("avgRank").isNotNull())
     return dense_ranks(kept, {"rank": "avgRank"}, descending=False)

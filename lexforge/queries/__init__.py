@@ -1,7 +1,7 @@
 """Queries over the given tables, one or more per operator, each with its SQL equivalent."""
 
-from lexforge.queries import crossing, dictionary, ranks, readings, symbols
+from lexforge.queries import crossing, dictionary, exports, ranks, readings, roundtrips, symbols
 
 ALL = {}
-for module in (ranks, dictionary, symbols, readings, crossing):
+for module in (ranks, dictionary, symbols, readings, crossing, exports, roundtrips):
     ALL |= module.QUERIES

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexforge.functions.symbols import terms
+from lexforge.operators.layout import widen
 
 
 class Query(NamedTuple):
@@ -23,7 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def term_counts(spark: SparkSession, sf_dir: str, by: list[str] | None = None) -> DataFrame:
     """(by..., term, n) over the whole texts of all documents."""
     columns = by or []
-    exploded = table(spark, sf_dir, "documents").select(*columns, F.explode(terms(F.col("text"))).alias("term"))
+    documents = widen(table(spark, sf_dir, "documents").select(*columns, "text"))
+    exploded = documents.select(*columns, F.explode(terms(F.col("text"))).alias("term"))
     return exploded.groupBy(*columns, "term").agg(F.count("*").alias("n"))
 
 

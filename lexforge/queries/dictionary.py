@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from lexforge.functions.lists import bracket_pairs, example_pairs, gloss_list
 from lexforge.functions.records import bracket_reading, glosses, headword
-from lexforge.operators.materialize import work_dir
+from lexforge.operators.materialize import work_path
 from lexforge.operators.nesting import first_by, merged_lists
 from lexforge.plans.meanings import combine_meanings
 from lexforge.queries.base import Query, table
@@ -17,7 +15,7 @@ from lexforge.sources import readers, sinks
 
 def _through_text(spark, lines, column):
     """Write the lines as text files and read them back."""
-    path = f"{work_dir(spark).rstrip('/')}/lexforge-lines-{uuid.uuid4().hex}"
+    path = work_path(spark, "lines")
     sinks.write_text(lines, path, column)
     return readers.text_lines(spark, path)
 

@@ -13,9 +13,10 @@ from lexforge.queries.base import TERMS, Query, table, term_counts
 def _vocabulary(spark, sf_dir):
     """Terms with the pairs (letter, next letter); the last letter is read as a dash."""
     chars = characters(F.col("term"))
-    pairs = F.transform(chars, lambda c, i: F.struct(
-        c.alias("kanji"), F.coalesce(F.get(chars, i + 1), F.lit("-")).alias("reading")))
-    return term_counts(spark, sf_dir).select("term", F.col("n").alias("totalOcurrences"), pairs.alias("furigana"))
+    shifted = F.concat(F.slice("chars", F.lit(2), F.size("chars")), F.array(F.lit("-")))
+    pairs = F.arrays_zip(F.col("chars").alias("kanji"), shifted.alias("reading"))
+    words = term_counts(spark, sf_dir).select("term", F.col("n").alias("totalOcurrences"), chars.alias("chars"))
+    return words.withColumn("furigana", pairs).drop("chars")
 
 
 _SUMS = TERMS + """, spots AS (
@@ -34,10 +35,10 @@ def inferred_readings(spark, sf_dir):
 
 def _bigrams(df, text):
     """(letter, next letter) of a text column, each once."""
-    chars = characters(F.col("t"))
-    following = F.slice(chars, F.lit(2), F.size(chars))
-    pairs = F.transform(following, lambda c, i: F.struct(F.get(chars, i).alias("k"), c.alias("r")))
-    return df.select(text.alias("t")).distinct().select(F.inline(pairs)).distinct()
+    chars = df.select(text.alias("t")).distinct().select(characters(F.col("t")).alias("c"))
+    size = F.size("c")
+    first, second = F.slice("c", F.lit(1), size - 1), F.slice("c", F.lit(2), size)
+    return chars.select(F.inline(F.arrays_zip(first.alias("k"), second.alias("r")))).distinct()
 
 
 def _listed(df, text, out):
