@@ -8,51 +8,84 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexforge.operators.materialize import materialize
+
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
-SALTS = 64
+# The keys with the most rows, never more than HOT_KEYS of them, are taken apart into SALTS tasks each.
+# Any other key holds less than 1/HOT_KEYS of the rows.
+HOT_KEYS = 1_000
+HOT_ROWS = 100_000
+SALTS = 256
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure the table, reading no more than ``rows`` + 1 of its rows."""
-    if not df.columns:
-        return True
+    """Measure the table's rows and bytes; a partition is read no further than the bound."""
     width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     n, total = df.select(width.alias("b")).limit(rows + 1).agg(F.count("*"), F.sum("b")).first()
     return n <= rows and (total or 0) <= size
 
 
-def spread(columns: Sequence[str], n: int = SALTS) -> Column:
+def spread(df: DataFrame, n: int = SALTS) -> Column:
     """A number in 0..n-1 that scatters rows, copies of one row included.
 
     It depends on the row and on its input partition only, so a task that is run again assigns the
     same numbers.
     """
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]) + F.spark_partition_id(), F.lit(n)).cast("int")
+    hashed = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]
+    return F.pmod(F.xxhash64(*hashed) + F.spark_partition_id(), F.lit(n)).cast("int")
+
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """An equi-join in which nulls are equal; the keys of the left side remain."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
+    condition = F.lit(True)
+    for k in on:
+        condition = condition & left[k].eqNullSafe(renamed[f"_r_{k}"])
+    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in on])
 
-def lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left",
-                salts: int = SALTS) -> DataFrame:
+
+def lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join rows whose keys may be skewed to a table with one row per key.
 
-    A lookup table of checked size is broadcast. A larger one is repeated once per salt, and the big
-    side carries a salt, so that a hot key meets its match in many tasks.
+    A lookup table of checked size is broadcast; beyond that the join is a shuffle that takes hot
+    keys apart.
     """
     if how not in ("left", "inner"):
         raise ValueError("a lookup join is left or inner")
     on = list(on)
     if fits_broadcast(lookup):
         return big.join(F.broadcast(lookup), on, how)
-    return salted_join(big, lookup, on, how, salts)
+    return skew_join(big, lookup, on, how, hot_keys(big.groupBy(*on).agg(F.count("*").alias("_n")), on, "_n"))
+
 
+def hot_keys(counts: DataFrame, on: Sequence[str], n: str, above: int | None = None) -> DataFrame:
+    """The keys that hold the most rows, from a table of counts; HOT_KEYS bounds their number."""
+    many = counts.filter(F.col(n) > (HOT_ROWS if above is None else above))
+    return materialize(many.orderBy(F.desc(n)).limit(HOT_KEYS).select(*on), "hot")
 
-def salted_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left",
-                salts: int = SALTS) -> DataFrame:
+
+def skew_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, hot: DataFrame,
+              null_safe: bool = False) -> DataFrame:
+    """Shuffle join in which only the ``hot`` keys are salted.
+
+    A hot row of the big side goes to one of SALTS places, and the lookup row of its key to all of
+    them. Rows with a null key match nothing unless ``null_safe``; they are scattered as well.
+    """
     on = list(on)
-    names = [c for c, t in big.dtypes if not t.startswith("map")]
-    left = big.withColumn("_salt", spread(names, salts))
-    right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    marks = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    scattered = F.col("_hot").isNotNull()
+    if not null_safe:
+        for k in on:
+            scattered = scattered | F.col(k).isNull()
+    left = null_safe_join(big, marks, on, "left").withColumn(
+        "_salt", F.when(scattered, spread(big)).otherwise(0)).drop("_hot")
+    right = null_safe_join(lookup, marks, on, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    ).drop("_hot")
+    keys = [*on, "_salt"]
+    joined = null_safe_join(left, right, keys, how) if null_safe else left.join(right, keys, how)
+    return joined.drop("_salt")
 
 
 @dataclass(frozen=True)

@@ -21,7 +21,6 @@ def nest(df: DataFrame, key: str, item: Column, out: str, order: Sequence[Column
     A key with more than ``part_rows`` rows continues on further rows, numbered by ``part`` from 0,
     so that no task has to hold the whole list of a hot key. All items are kept.
     """
-    names = [c for c, t in df.dtypes if not t.startswith("map")]
     # keys go by their hash, which is never null; two keys that share one may only be split once more
     hashed = F.xxhash64(key).alias("_hash")
     counts = df.groupBy(hashed).agg(F.count("*").alias("_n")).filter(F.col("_n") > part_rows)
@@ -31,7 +30,7 @@ def nest(df: DataFrame, key: str, item: Column, out: str, order: Sequence[Column
     if hot.isEmpty():
         parted = df.withColumn(part, F.lit(0))
     else:
-        marked = df.select("*", hashed, spread(names, 1 << 20).alias("_at"))
+        marked = df.select("*", hashed, spread(df, 1 << 20).alias("_at"))
         parted = lookup_join(marked, hot, ["_hash"]).withColumn(
             part, F.coalesce(F.pmod("_at", "_parts"), F.lit(0))
         )

@@ -13,28 +13,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexforge.operators.joins import spread
+from lexforge.operators.joins import hot_keys, null_safe_join, skew_join
 from lexforge.operators.materialize import materialize
 
 WINDOW_ROWS = 100_000
-HOT_SHARE = 1_000
 _ROW_BITS = 33
 
 
-def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    condition = F.lit(True)
-    for a, b in pairs:
-        condition = condition & left[a].eqNullSafe(right[b])
-    return condition
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    return left.join(renamed, _same(left, renamed, [(k, f"_r_{k}") for k in keys]), how).drop(
-        *[f"_r_{k}" for k in keys]
-    )
-
-
 def number_rows(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (),
                 out: str = "position") -> DataFrame:
     """Number the rows 1, 2, ... in a total order, inside each group, on any number of tasks.
@@ -64,26 +49,17 @@ def number_rows(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (
     heads = table.groupBy(*group, "_block").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     heads = heads.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    placed = _null_safe_join(table, heads, [*group, "_block"], "inner")
+    placed = null_safe_join(table, heads, [*group, "_block"], "inner")
     return placed.withColumn(out, F.col("_row") - F.col("_first") + F.col("_before") + 1).drop(
         "_block", "_row", "_first", "_before"
     )
 
 
-def _attach(df: DataFrame, ranks: DataFrame, keys: Sequence[str], out: str, total: int, small: bool) -> DataFrame:
+def _attach(df: DataFrame, ranks: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
     """Bring a rank back to the rows by value; ``ranks`` counts the rows per value in ``_rows``."""
     if small:
-        return _null_safe_join(df, F.broadcast(ranks.drop("_rows")), keys)
-    # fewer than HOT_SHARE values can each hold more than 1/HOT_SHARE of the rows
-    bound = total / HOT_SHARE
-    hot = ranks.filter(F.col("_rows") > bound).drop("_rows").withColumnRenamed(out, "_hot")
-    rest = ranks.filter(F.col("_rows") <= bound).drop("_rows").withColumn("_spread", F.lit(-1))
-    names = [c for c, t in df.dtypes if not t.startswith("map")]
-    marked = _null_safe_join(df, F.broadcast(hot), keys).withColumn(
-        "_spread", F.when(F.col("_hot").isNull(), F.lit(-1)).otherwise(spread(names, HOT_SHARE))
-    )
-    joined = _null_safe_join(marked, rest, [*keys, "_spread"])
-    return joined.withColumn(out, F.coalesce("_hot", out)).drop("_hot", "_spread")
+        return null_safe_join(df, F.broadcast(ranks.drop("_rows")), keys, "left")
+    return skew_join(df, ranks.drop("_rows"), keys, "left", hot_keys(ranks, keys, "_rows"), null_safe=True)
 
 
 def dense_ranks(df: DataFrame, ranks: Mapping[str, str], group: Sequence[str] = (), descending: bool = True,
@@ -107,19 +83,17 @@ def _dense_ranks_of_type(df: DataFrame, wanted: Mapping[str, str], group: list[s
     values = df.select(*group, F.explode(F.array(*items)).alias("_e")).select(*group, "_e.*")
     keys = [*group, "_metric", "_value"]
     counted = materialize(values.groupBy(*keys).agg(F.count("*").alias("_rows")), "values")
-    n, rows = counted.agg(F.count("*"), F.sum("_rows")).first()
     order = F.col("_value").desc() if descending else F.col("_value").asc()
-    small = n <= window_rows
+    small = counted.count() <= window_rows
     if small:
         within = Window.partitionBy(*group, "_metric").orderBy(order)
         ranked = counted.withColumn("_rank", F.dense_rank().over(within).cast("long"))
     else:
         ranked = number_rows(counted, [order], [*group, "_metric"], "_rank")
-        if len(wanted) > 1:
-            ranked = materialize(ranked, "ranks")
+        ranked = materialize(ranked, "ranks")
     for out, column in wanted.items():
         own = ranked.filter(F.col("_metric") == out).select(
             *group, F.col("_value").alias(column), F.col("_rank").alias(out), "_rows"
         )
-        df = _attach(df, own, [*group, column], out, (rows or 0) // len(wanted), small)
+        df = _attach(df, own, [*group, column], small)
     return df

@@ -27,7 +27,7 @@ _SUMS = TERMS + """, spots AS (
 
 
 def inferred_readings(spark, sf_dir):
-    nested = infer_readings(reading_sums(_vocabulary(spark, sf_dir)))
+    nested = infer_readings(materialize(reading_sums(_vocabulary(spark, sf_dir)), "sums"))
     return nested.select("k", F.array_join(
         F.transform("readingsWFreq", lambda x: F.concat_ws(":", x["furigana"]["reading"], x["Occ"].cast("string"))), "|"
     ).alias("readings"))

@@ -46,9 +46,8 @@ def test_dense_ranks_share_a_pass(spark):
     assert got.count() == 4000 and got.filter("r != s").isEmpty()
 
 
-def test_hot_values_leave_the_shuffle_join(spark, monkeypatch):
-    """A value with many rows is matched by broadcast; the ranks stay whole."""
-    monkeypatch.setattr(ranking, "HOT_SHARE", 5)
+def test_hot_values_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_ROWS", 500)
     df = skewed(spark, nulls=False)
     want = df.withColumn("r", F.dense_rank().over(Window.orderBy(F.desc("v"))).cast("long"))
     assert rows(ranking.dense_ranks(df, {"r": "v"}, window_rows=0)) == rows(want)
@@ -93,12 +92,26 @@ def test_copies_of_one_item_are_split(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join_equals_plain_join(spark, how):
-    big = skewed(spark).withColumn("k", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 60))
+def test_lookup_join_equals_plain_join(spark, how, monkeypatch):
+    big = skewed(spark).withColumn("k", F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 5 > 0, F.col("id") % 60))
     dim = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
     want = rows(big.join(dim, "k", how))
-    assert rows(joins.salted_join(big, dim, ["k"], how, 8)) == want
     assert rows(joins.lookup_join(big, dim, ["k"], how)) == want
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+    assert rows(joins.lookup_join(big, dim, ["k"], how)) == want
+    monkeypatch.setattr(joins, "HOT_ROWS", 500)
+    salted = joins.lookup_join(big, dim, ["k"], how)
+    assert rows(salted) == want
+
+
+def test_hot_keys_go_to_many_tasks(spark):
+    """In the shuffle of a skewed join no task holds more than a small part of the hot key."""
+    big = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id"))
+    hot = joins.hot_keys(big.groupBy("k").agg(F.count("*").alias("n")), ["k"], "n", above=1_000)
+    assert rows(hot) == [(1,)]
+    salted = big.join(F.broadcast(hot.withColumn("h", F.lit(1))), "k", "left").filter("h = 1").groupBy(
+        joins.spread(big).alias("s")).count()
+    assert salted.agg(F.max("count")).first()[0] < 200 and salted.agg(F.sum("count")).first()[0] == 20_001
 
 
 def test_broadcast_is_size_checked(spark):
