@@ -35,12 +35,12 @@ def compile_all(spark: SparkSession, paths: SourcePaths) -> dict[str, DataFrame]
             return cached(spark, f"{paths.cache.rstrip('/')}/{name}", build, fingerprint=digest)
         return materialize(build(), name)
 
-    levels = readers.levels(spark, paths.levels)
+    levels = stage("levels", lambda: readers.levels(spark, paths.levels))
     kanjidic = stage("kanjidic", lambda: readers.kanjidic(spark, paths.kanjidic))
     kanji_alive = stage("kanji-alive", lambda: readers.kanji_alive(spark, paths.kanji_alive))
     tanos = stage("tanos", lambda: readers.tanos(spark, paths.tanos))
     dictionary = stage("dictionary", lambda: compile_dictionary(
-        readers.dictionary_entries(readers.text_lines(spark, paths.dictionary))))
+        readers.dictionary_entries(readers.text_lines(spark, paths.dictionary, "place"), keep=["place"]), "place"))
     frequencies = stage("frequencies", lambda: compile_frequencies(
         {prefix: readers.symbol_frequencies(spark, p) for prefix, p in paths.symbol_frequencies.items()}))
     meanings = stage("meanings", lambda: combine_meanings(kanjidic, kanji_alive, tanos))

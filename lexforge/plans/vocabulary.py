@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.kana import scripts, to_hiragana
 from lexforge.functions.symbols import KANJI, has_symbol
+from lexforge.operators.joins import lookup_join
 from lexforge.operators.nesting import first_by, merged_lists
 from lexforge.operators.ranking import dense_ranks
 from lexforge.plans.alignment import align_readings
@@ -17,17 +18,16 @@ WORD_RANKS = {
 }
 
 
-def compile_dictionary(entries: DataFrame, merge: bool = False) -> DataFrame:
-    """One row per headword: the first entry in file order, or all glosses merged.
+def compile_dictionary(entries: DataFrame, place: str, merge: bool = False) -> DataFrame:
+    """One row per headword: the first entry by ``place``, or all glosses merged in that order.
 
-    ``entries`` must come from a file scan, whose row order is the file's.
+    Merged glosses that are too many for one row continue on further rows, numbered by ``part``.
     """
-    ordered = entries.withColumn("_line", F.monotonically_increasing_id())
     if not merge:
-        return first_by(ordered, "edictWord", F.col("_line")).drop("_line")
-    glosses = merged_lists(ordered, "edictWord", "translations", F.col("_line"))
-    readings = first_by(ordered.select("edictWord", "reading", "_line"), "edictWord", F.col("_line")).drop("_line")
-    return glosses.join(readings, "edictWord", "left")
+        return first_by(entries, "edictWord", F.col(place)).drop(place)
+    glosses = merged_lists(entries, "edictWord", "translations", F.col(place))
+    readings = first_by(entries.select("edictWord", "reading", place), "edictWord", F.col(place)).drop(place)
+    return lookup_join(glosses, readings, ["edictWord"])
 
 
 def word_totals(words: DataFrame, counts: list[str], out: str = "totalOcurrences") -> DataFrame:

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexforge.functions.lists import bracket_pairs, example_pairs, gloss_list
-from lexforge.functions.records import bracket_reading, glosses, headword
 from lexforge.operators.materialize import work_path
-from lexforge.operators.nesting import first_by, merged_lists
 from lexforge.plans.meanings import combine_meanings
+from lexforge.plans.vocabulary import compile_dictionary
 from lexforge.queries.base import Query, table
 from lexforge.sources import readers, sinks
 
@@ -44,19 +43,16 @@ def dictionary_parse(spark, sf_dir):
 
 
 def dictionary_first(spark, sf_dir):
-    line = F.col("line")
-    entries = _part_lines(spark, sf_dir).select(
-        "p_partkey", headword(line).alias("word"), bracket_reading(line).alias("reading"), glosses(line).alias("glosses"))
-    return first_by(entries, "word", F.col("p_partkey")).select(
-        "word", "p_partkey", "reading", F.array_join("glosses", "|").alias("glosses"))
+    entries = readers.dictionary_entries(_part_lines(spark, sf_dir), "line", ["p_partkey"])
+    return compile_dictionary(entries, "p_partkey").select(
+        F.col("edictWord").alias("word"), "reading", F.array_join("translations", "|").alias("glosses"))
 
 
 def dictionary_merged(spark, sf_dir):
     """All glosses of a headword; they come out one per row, since a list may span several rows."""
-    line = F.col("line")
-    entries = _part_lines(spark, sf_dir).select("p_partkey", headword(line).alias("word"), glosses(line).alias("glosses"))
-    merged = merged_lists(entries, "word", "glosses", F.col("p_partkey"))
-    return merged.select("word", "part", F.posexplode("glosses").alias("pos", "gloss"))
+    entries = readers.dictionary_entries(_part_lines(spark, sf_dir), "line", ["p_partkey"])
+    merged = compile_dictionary(entries, "p_partkey", merge=True)
+    return merged.select(F.col("edictWord").alias("word"), "reading", "part", F.posexplode("translations").alias("pos", "gloss"))
 
 
 def record_parse(spark, sf_dir):
@@ -132,13 +128,13 @@ QUERIES = {
     "dictionary_parse": Query(dictionary_parse, f"""WITH {_PARSED}
         SELECT word, reading, array_to_string(glosses, '|') AS glosses FROM parsed"""),
     "dictionary_first": Query(dictionary_first, f"""WITH {_PARSED}
-        SELECT word, p_partkey, reading, array_to_string(glosses, '|') AS glosses FROM parsed
+        SELECT word, reading, array_to_string(glosses, '|') AS glosses FROM parsed
         QUALIFY row_number() OVER (PARTITION BY word ORDER BY p_partkey) = 1"""),
     "dictionary_merged": Query(dictionary_merged, f"""WITH {_PARSED}, items AS (
             SELECT word, p_partkey, unnest(glosses) AS gloss, generate_subscripts(glosses, 1) AS i FROM parsed
         ), firsts AS (SELECT word, gloss, min(struct_pack(p := p_partkey, i := i)) AS f FROM items GROUP BY word, gloss)
-        SELECT word, 0 AS part, (row_number() OVER (PARTITION BY word ORDER BY f.p, f.i) - 1)::INTEGER AS pos, gloss
-        FROM firsts"""),
+        SELECT word, r AS reading, 0 AS part, (row_number() OVER (PARTITION BY word ORDER BY f.p, f.i) - 1)::INTEGER AS pos, gloss
+        FROM firsts JOIN (SELECT word, arg_min(reading, p_partkey) AS r FROM parsed GROUP BY word) USING (word)"""),
     "record_parse": Query(record_parse, r"""WITH lines AS (SELECT CASE WHEN p_size > 40 THEN '12' ELSE substr(p_name, 1, 1) END
             || ':' || p_type || '(' || p_brand || ',' || p_size || ')' AS line FROM part)
         SELECT substr(line, 1, 1) AS "cKanji", substr(line, 1, 1) AS kanji, regexp_extract(line, ':(.*)\(', 1) AS role,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,24 @@ from lexforge.sources import schemas
 CORRUPT = "_corrupt_record"
 
 
+# Usual file names of the sources below one folder.
+FILES = {
+    "levels": "jlpt-levels.json",
+    "dictionary": "edict-utf-8",
+    "kanjidic": "kanjidic2-compact.json",
+    "kanji_alive": "ka_data-compact.json",
+    "tanos": "tanos-jlpt-compact.json",
+    "word_frequencies": "word-frequency-descriptive-compact.json",
+    "decompositions": "cjk-decomp-0.4.0.txt",
+    "component_lists": "kradfile-u-clean",
+}
+OPTIONAL_FILES = {
+    "sentences": "tatoeba-compact.json",
+    "wiki_radicals": "japanese-radicals-wikipedia-adapted-compact.json",
+}
+FREQUENCY_FILES = {"ao": "aozora.csv", "tw": "twitter.csv", "wk": "wikipedia.csv", "news": "news.csv"}
+
+
 @dataclass(frozen=True)
 class SourcePaths:
     """Where the sources lie; every path is passed in, and the cache folder may be left out."""
@@ -34,6 +52,14 @@ class SourcePaths:
     lemmas: str | None = None
     cache: str | None = None
 
+    @classmethod
+    def in_folder(cls, folder: str, **others: str | None) -> SourcePaths:
+        """The usual file names below one folder; any path can be given by name instead."""
+        root = folder.rstrip("/")
+        paths = {name: f"{root}/{file}" for name, file in FILES.items()}
+        corpora = {prefix: f"{root}/{file}" for prefix, file in FREQUENCY_FILES.items()}
+        return cls(**{**paths, "symbol_frequencies": corpora, **others})
+
 
 def json_lines(spark: SparkSession, path: str, schema: str | None = None, multi_line: bool = False,
                keep_corrupt: bool = False) -> DataFrame:
@@ -63,16 +89,23 @@ def two_fields(spark: SparkSession, path: str, names: tuple[str, str] = ("fKanji
     return lines.select(*[strip(F.col(n)).alias(n) for n in names])
 
 
-def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+def text_lines(spark: SparkSession, path: str, place: str | None = None) -> DataFrame:
+    """(value) per line. ``place`` adds a column that sorts as the lines do in their files."""
+    lines = spark.read.text(path)
+    if place is None:
+        return lines
+    # a block of a file is read by one task, which numbers its rows upwards
+    return lines.select("value", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row")).alias(place))
 
 
-def dictionary_entries(lines: DataFrame, line: str = "value") -> DataFrame:
-    """(edictWord, reading, translations) of every dictionary line, repeats included."""
+def dictionary_entries(lines: DataFrame, line: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """(edictWord, reading, translations) of every dictionary line, repeats included, and the kept columns."""
     text = F.col(line)
     return lines.select(
         headword(text).alias("edictWord"), bracket_reading(text).alias("reading"),
-        glosses(text).alias("translations"),
+        glosses(text).alias("translations"), *keep,
     )
 
 

@@ -135,11 +135,11 @@ def test_dictionary_duplicates(spark, tmp_path):
     lines = ["w [a] /one/two/", "v /x/", "w [b] /two/three/", "u //", "w /four/"]
     (tmp_path / "d.txt").write_text("\n".join(lines))
     from lexforge.sources.readers import dictionary_entries, text_lines
-    entries = dictionary_entries(text_lines(spark, str(tmp_path / "d.txt")))
-    first = compile_dictionary(entries)
+    entries = dictionary_entries(text_lines(spark, str(tmp_path / "d.txt"), "at"), keep=["at"])
+    first = compile_dictionary(entries, "at")
     assert rows(first.select("edictWord", "reading", "translations")) == [
         ("u", None, []), ("v", None, ["x"]), ("w", "a", ["one", "two"])]
-    merged = compile_dictionary(entries, merge=True)
+    merged = compile_dictionary(entries, "at", merge=True)
     assert rows(merged.select("edictWord", "reading", "translations")) == [
         ("u", None, []), ("v", None, ["x"]), ("w", "a", ["one", "two", "three", "four"])]
 
