@@ -17,7 +17,7 @@ def entry_batches(df: DataFrame, table: str, n: int, entry: str = "entry",
     All batches but the last are full, and every line is in exactly one.
     """
     numbered = number_rows(df, list(order) if order else [F.col(entry).asc()])
-    batched = numbered.groupBy(F.floor((F.col("position") - 1) / n).cast("long").alias("batch")).agg(
+    batched = numbered.groupBy(F.expr(f"(position - 1) div {int(n)}").alias("batch")).agg(
         F.count("*").alias("n_entries"),
         F.array_sort(F.collect_list(F.struct("position", F.col(entry).alias("line")))).alias("_lines"),
     )

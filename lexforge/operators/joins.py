@@ -36,13 +36,17 @@ def spread(df: DataFrame, n: int = SALTS) -> Column:
     return F.pmod(F.xxhash64(*hashed) + F.spark_partition_id(), F.lit(n)).cast("int")
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
+                   never_null: Sequence[str] = ()) -> DataFrame:
     """An equi-join in which nulls are equal; the keys of the left side remain."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
+    names = {k: f"_r_{k}" for k in [*never_null, *on]}
+    renamed = right.withColumnsRenamed(names)
     condition = F.lit(True)
+    for k in never_null:
+        condition = condition & (left[k] == renamed[names[k]])
     for k in on:
-        condition = condition & left[k].eqNullSafe(renamed[f"_r_{k}"])
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in on])
+        condition = condition & left[k].eqNullSafe(renamed[names[k]])
+    return left.join(renamed, condition, how).drop(*names.values())
 
 
 def lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -83,9 +87,9 @@ def skew_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, ho
     right = null_safe_join(lookup, marks, on, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
     ).drop("_hot")
-    keys = [*on, "_salt"]
-    joined = null_safe_join(left, right, keys, how) if null_safe else left.join(right, keys, how)
-    return joined.drop("_salt")
+    if null_safe:
+        return null_safe_join(left, right, on, how, never_null=["_salt"]).drop("_salt")
+    return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
 @dataclass(frozen=True)

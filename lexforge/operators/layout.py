@@ -30,11 +30,6 @@ def preview(df: DataFrame, n: int = 50) -> DataFrame:
     return df.limit(n)
 
 
-def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Rename columns; names that are absent are skipped."""
-    return df.withColumnsRenamed(names)
-
-
 def keep(df: DataFrame, columns: list[str]) -> DataFrame:
     """Select a declared output list, skipping names the table does not have."""
     return df.select(*[c for c in columns if c in df.columns])

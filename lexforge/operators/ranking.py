@@ -49,7 +49,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (
     heads = table.groupBy(*group, "_block").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     heads = heads.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    placed = null_safe_join(table, heads, [*group, "_block"], "inner")
+    placed = null_safe_join(table, heads, group, "inner", never_null=["_block"])
     return placed.withColumn(out, F.col("_row") - F.col("_first") + F.col("_before") + 1).drop(
         "_block", "_row", "_first", "_before"
     )

@@ -41,7 +41,7 @@ def parquet_roundtrip(spark, sf_dir):
     return spark.read.parquet(path).select("p_partkey", "p_name", "p_size")
 
 
-def csv_frequencies(spark, sf_dir):
+def _frequency_files(spark, sf_dir):
     """Quantities per order key by return flag, as headerless frequency files; keys that all three hold are ranked."""
     lines = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_partkey").agg(F.sum("l_quantity").cast("long").alias("n"))
     corpora = {}
@@ -52,10 +52,29 @@ def csv_frequencies(spark, sf_dir):
         total = own.agg(F.lit("all").alias("symbol"), F.sum("n").alias("n"), F.lit(1.0).alias("half"))
         sinks.write_csv(own.unionByName(total), path)
         corpora[prefix] = readers.symbol_frequencies(spark, path)
-    ranked = compile_frequencies(corpora, key="part")
+    return corpora
+
+
+def csv_frequencies(spark, sf_dir):
+    """The rows of totals take part in the ranks."""
+    return compile_frequencies(_frequency_files(spark, sf_dir), key="part").drop("aoFreq", "noFreq", "reFreq")
+
+
+def csv_frequencies_without_totals(spark, sf_dir):
+    ranked = compile_frequencies(_frequency_files(spark, sf_dir), key="part", drop_totals=True)
     return ranked.drop("aoFreq", "noFreq", "reFreq")
 
 
+def sentence_pairs(spark, sf_dir):
+    """Turns of conversations as a source of sentences, under its declared names."""
+    turns = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("string").alias("firstId"), F.col("turn").cast("string").alias("secondId"),
+        F.col("text").alias("jpSentence"), F.nullif("role", F.lit("user")).alias("jpFurigana"), F.col("text").alias("other"))
+    path = work_path(spark, "sentences")
+    sinks.write_json(turns, path)
+    return readers.sentences(spark, path)
+
+
 def two_field_text(spark, sf_dir):
     """Lines of two fields with blanks around them."""
     path = work_path(spark, "fields")
@@ -76,20 +95,27 @@ def source_audit(spark, sf_dir):
     })
 
 
+def _csv_sql(totals: str) -> str:
+    return f"""WITH sums AS (
+            SELECT l_returnflag AS f, l_partkey::VARCHAR AS part, sum(l_quantity)::BIGINT AS n FROM lineitem GROUP BY ALL
+        ), counts AS (FROM sums {totals}
+        ), r AS (SELECT *, dense_rank() OVER (PARTITION BY f ORDER BY n DESC) AS rk FROM counts
+        ), joined AS (SELECT a.part, a.n AS "aoOcu", n.n AS "noOcu", r.n AS "reOcu", a.rk AS "aoRank", n.rk AS "noRank",
+                r.rk AS "reRank", (a.rk + n.rk + r.rk) / 3.0E0 AS "avgRank"
+            FROM r AS a JOIN r AS n ON n.part = a.part AND n.f = 'N' JOIN r ON r.part = a.part AND r.f = 'R' WHERE a.f = 'A')
+        SELECT *, dense_rank() OVER (ORDER BY "avgRank") AS rank FROM joined"""
+
+
 QUERIES = {
     "cache_roundtrip": Query(cache_roundtrip, """SELECT l_partkey, count(*) AS n, sum(l_quantity)::BIGINT AS quantity
         FROM lineitem GROUP BY l_partkey"""),
     "json_roundtrip": Query(json_roundtrip, """SELECT o_orderkey, o_custkey, nullif(o_orderstatus, 'F') AS o_orderstatus,
         o_orderpriority FROM orders"""),
     "parquet_roundtrip": Query(parquet_roundtrip, "SELECT p_partkey, p_name, p_size FROM part"),
-    "csv_frequencies": Query(csv_frequencies, """WITH sums AS (
-            SELECT l_returnflag AS f, l_partkey::VARCHAR AS part, sum(l_quantity)::BIGINT AS n FROM lineitem GROUP BY ALL
-        ), counts AS (FROM sums UNION ALL SELECT f, 'all', sum(n)::BIGINT FROM sums GROUP BY f
-        ), r AS (SELECT *, dense_rank() OVER (PARTITION BY f ORDER BY n DESC) AS rk FROM counts
-        ), joined AS (SELECT a.part, a.n AS "aoOcu", n.n AS "noOcu", r.n AS "reOcu", a.rk AS "aoRank", n.rk AS "noRank",
-                r.rk AS "reRank", (a.rk + n.rk + r.rk) / 3.0E0 AS "avgRank"
-            FROM r AS a JOIN r AS n ON n.part = a.part AND n.f = 'N' JOIN r ON r.part = a.part AND r.f = 'R' WHERE a.f = 'A')
-        SELECT *, dense_rank() OVER (ORDER BY "avgRank") AS rank FROM joined"""),
+    "csv_frequencies": Query(csv_frequencies, _csv_sql("UNION ALL SELECT f, 'all', sum(n)::BIGINT FROM sums GROUP BY f")),
+    "csv_frequencies_without_totals": Query(csv_frequencies_without_totals, _csv_sql("")),
+    "sentence_pairs": Query(sentence_pairs, """SELECT conv_id::VARCHAR AS "firstId", turn::VARCHAR AS "secondId",
+        text AS "jpSentence", nullif(role, 'user') AS "jpFurigana", NULL::VARCHAR AS "englishMeaning" FROM conversations"""),
     "two_field_text": Query(two_field_text, "SELECT p_partkey::VARCHAR AS part, p_name || ' ' || p_brand AS list FROM part"),
     "source_audit": Query(source_audit, """SELECT 'events' AS source, count(*) AS n_rows,
             count(*) FILTER (WHERE event_type = 'error') AS n_corrupt, 0::BIGINT AS n_null_columns FROM events
