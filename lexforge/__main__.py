@@ -12,13 +12,13 @@ from lexforge.sources.readers import FILES, OPTIONAL_FILES, SourcePaths
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="lexforge", description=__doc__)
-    parser.add_argument("sources", help="folder of the source files, under their usual names")
+    parser.add_argument("sources", help="folder of the source files, under their default names")
     parser.add_argument("output", help="folder to write to")
     parser.add_argument("--everything", action="store_true", help="write tables and entries, not the summaries alone")
     parser.add_argument("--cache", help="folder that keeps compiled tables for the next run")
     parser.add_argument("--lemmas", help="JSON lines of (surface, lemma)")
     for name, file in {**FILES, **OPTIONAL_FILES}.items():
-        parser.add_argument(f"--{name.replace('_', '-')}", help=f"path of this source (usually {file})")
+        parser.add_argument(f"--{name.replace('_', '-')}", help=f"path of this source, if it is not {file} in that folder")
     given = vars(parser.parse_args(arguments))
     sources, output, everything = (given.pop(n) for n in ("sources", "output", "everything"))
     spark = SparkSession.builder.appName("lexforge").getOrCreate()

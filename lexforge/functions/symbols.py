@@ -10,13 +10,13 @@ KANJI = r"[\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}]"
 # For text in alphabetic scripts: one letter.
 LETTER = r"\p{L}"
 
-# Characters that a trim removes, besides the plain space.
-WHITESPACE = " \t\n\r\x0b\x0c"
+# Characters that a trim removes: the control characters and the plain space.
+BLANKS = "".join(map(chr, range(0x21)))
 
 
 def strip(text: Column) -> Column:
-    """Trim blanks of every kind; the built-in ``trim`` removes plain spaces only."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Trim blanks and control characters; the built-in ``trim`` removes plain spaces only."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def has_symbol(text: Column, symbol: str = KANJI) -> Column:
@@ -29,13 +29,13 @@ def is_symbol(char: Column, symbol: str = KANJI) -> Column:
 
 def distinct_symbols(text: Column, symbol: str = KANJI) -> Column:
     """The symbols of a word, each once, in order of first occurrence."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"({symbol})"), 1))
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(symbol), 0))
 
 
 def characters(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit("(?s)(.)"), 1)
+    return F.regexp_extract_all(text, F.lit("(?s)."), 0)
 
 
 def terms(text: Column) -> Column:
     """Lower-case letter runs of a running text."""
-    return F.filter(F.split(F.lower(text), r"\P{L}+"), lambda t: t != "")
+    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), 0)

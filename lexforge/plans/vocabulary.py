@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from lexforge.functions.kana import scripts, to_hiragana
 from lexforge.functions.symbols import KANJI, has_symbol
 from lexforge.operators.joins import lookup_join
+from lexforge.operators.layout import keep
 from lexforge.operators.nesting import first_by, merged_lists
 from lexforge.operators.ranking import dense_ranks
 from lexforge.plans.alignment import align_readings
+from lexforge.sources.schemas import WORD_COUNTS, WORD_MASTER
 
 WORD_RANKS = {
     "internetRank": "internetRelative", "novelsRank": "novelRelative",
@@ -66,14 +68,14 @@ def compile_vocabulary(words: DataFrame, dictionary: DataFrame, candidates: Data
     not sorted; sort it where it is written.
     """
     ranked = dense_ranks(words, WORD_RANKS)
-    totals = word_totals(ranked, ["internetOcurrences", "novelOcurrences", "subtitlesOcurrences"])
+    totals = word_totals(ranked, WORD_COUNTS)
     looked_up = totals.join(dictionary, totals["word"] == dictionary["edictWord"], "left").drop("edictWord")
     based = with_base_forms(looked_up, lemmas)
     spelled = with_scripts(based, "reading", symbol=symbol)
     spoken = spelled.filter(F.col("reading").isNotNull()).select("word", to_hiragana(F.col("reading")).alias("spoken"))
     aligned = align_readings(spoken, candidates, "word", "spoken", symbol=symbol)
     renamed = aligned.select(F.col("word").alias("_w"), "furigana")
-    joined = spelled.join(renamed, spelled["word"] == renamed["_w"], "left").drop("_w", "reading")
-    return joined.withColumn(
+    joined = spelled.join(renamed, spelled["word"] == renamed["_w"], "left").withColumn(
         "furigana", F.coalesce("furigana", F.array().cast("array<struct<kanji:string,reading:string>>"))
     )
+    return keep(joined, WORD_MASTER)

@@ -16,22 +16,18 @@ from lexforge.sources import schemas
 CORRUPT = "_corrupt_record"
 
 
-# Usual file names of the sources below one folder.
+# File names below one folder, unless a path is given.
 FILES = {
-    "levels": "jlpt-levels.json",
-    "dictionary": "edict-utf-8",
-    "kanjidic": "kanjidic2-compact.json",
-    "kanji_alive": "ka_data-compact.json",
-    "tanos": "tanos-jlpt-compact.json",
-    "word_frequencies": "word-frequency-descriptive-compact.json",
-    "decompositions": "cjk-decomp-0.4.0.txt",
-    "component_lists": "kradfile-u-clean",
+    "levels": "levels.json",
+    "dictionary": "dictionary.txt",
+    "kanjidic": "kanjidic.json",
+    "kanji_alive": "kanji-alive.json",
+    "tanos": "tanos.json",
+    "word_frequencies": "word-frequencies.json",
+    "decompositions": "decompositions.txt",
+    "component_lists": "component-lists.txt",
 }
-OPTIONAL_FILES = {
-    "sentences": "tatoeba-compact.json",
-    "wiki_radicals": "japanese-radicals-wikipedia-adapted-compact.json",
-}
-FREQUENCY_FILES = {"ao": "aozora.csv", "tw": "twitter.csv", "wk": "wikipedia.csv", "news": "news.csv"}
+OPTIONAL_FILES = {"sentences": "sentences.json", "wiki_radicals": "wiki-radicals.json"}
 
 
 @dataclass(frozen=True)
@@ -54,10 +50,10 @@ class SourcePaths:
 
     @classmethod
     def in_folder(cls, folder: str, **others: str | None) -> SourcePaths:
-        """The usual file names below one folder; any path can be given by name instead."""
+        """The default file names below one folder; any path can be given by name instead."""
         root = folder.rstrip("/")
         paths = {name: f"{root}/{file}" for name, file in FILES.items()}
-        corpora = {prefix: f"{root}/{file}" for prefix, file in FREQUENCY_FILES.items()}
+        corpora = {prefix: f"{root}/{prefix}.csv" for prefix in schemas.CORPORA}
         return cls(**{**paths, "symbol_frequencies": corpora, **others})
 
 

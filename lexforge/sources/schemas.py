@@ -43,6 +43,13 @@ WORD_SHARES = ["averageRelative", "internetRelative", "novelRelative", "subtitle
 
 SENTENCES = "firstId string, secondId string, jpSentence string, jpFurigana string, englishMeaning string"
 
+# The output of the word table, in order (the spelling of the names is the published one).
+WORD_MASTER = [
+    "averageRelative", "internetOcurrences", "internetRelative", "novelOcurrences", "novelRelative",
+    "subtitlesOcurrences", "subtitlesRelative", "word", "internetRank", "novelsRank", "subtitlesRank", "rank",
+    "transliterations", "furigana", "totalOcurrences", "baseForm", "translations",
+]
+
 # The output of the symbol table, in order.
 CORPORA = ["ao", "tw", "wk", "news"]
 SYMBOL_MASTER = [

@@ -46,22 +46,22 @@ def write_sources(folder, cache=None):
             kd("言", [("en", "say")], [("ja_on", "ゲン"), ("ja_kun", "い.う"), ("ja_kun", "こと")],
                variant={"type": "jis208", "value": "1-2"}),
             kd("匁", [("en", "monme")], None)]),
-        kanji_alive=_lines(folder / "alive.json", [
+        kanji_alive=_lines(folder / "kanji-alive.json", [
             {"kanji": "愛", "kmeaning": "love, affection", "onyomi_ja": "アイ", "kunyomi_ja": "いと、まな", "kname": "ito(shii)",
              "examples": '[ [ "愛（あい）", "love \\"n\\"" ] ]', "radical": "⼼", "rad_stroke": "4"},
             {"kanji": "龘", "kmeaning": "dragons", "onyomi_ja": "トウ", "kunyomi_ja": ""}]),
         tanos=_lines(folder / "tanos.json", [
             {"Kanji": "日", "jlpt": 5, "Kunyomi": "ひ -び", "Onyomi": "ニチ ジツ", "English": "day, sun, Japan"},
             {"Kanji": "龘", "jlpt": 1, "Kunyomi": "", "Onyomi": "", "English": "dragons"}]),
-        word_frequencies=_lines(folder / "words.json", [
+        word_frequencies=_lines(folder / "word-frequencies.json", [
             word("いつも", 39753, 83941, 9841, "0.000417"), word("愛", 9000, 1000, 500, "0.5"),
             word("愛しい", 200, 80, 7, "1E-7"), word("理由", 5000, 100, 50, "0.1"), word("今日", 3000, 2000, 10, "0.2"),
             word("言う", 900, 0, 0, "0.01"), word("匁", 3, 0, 0, "0.000001")]),
-        decompositions=_lines(folder / "decomposition.txt", ["愛:d(38462,夂)", "匁:lock(99972,㇏)", "12345:a(x,y)", "", "理:a()"]),
-        component_lists=_lines(folder / "components.txt", ["愛 : 冖 爪 心 夂", "理 : 王 里"]),
+        decompositions=_lines(folder / "decompositions.txt", ["愛:d(38462,夂)", "匁:lock(99972,㇏)", "12345:a(x,y)", "", "理:a()"]),
+        component_lists=_lines(folder / "component-lists.txt", ["愛 : 冖 爪 心 夂", "理 : 王 里"]),
         sentences=_lines(folder / "sentences.json", [
             {"firstId": "1", "secondId": "2", "jpSentence": "愛。", "jpFurigana": "あい。", "englishMeaning": "Love."}]),
-        wiki_radicals=_lines(folder / "radicals.json", [{"radical": "心", "stroke": 4}]),
+        wiki_radicals=_lines(folder / "wiki-radicals.json", [{"radical": "心", "stroke": 4}]),
         symbol_frequencies={
             p: _lines(folder / f"{p}.csv", [f'"all",{n},1', f"愛,{a},0.5", f"日,{b},0.25", f"言,{b},0.25"] + ([f"理,{a},0.1"] if p != "tw" else []))
             for p, n, a, b in [("ao", 1000, 500, 250), ("tw", 900, 100, 400), ("wk", 800, 300, 200), ("news", 700, 60, 50)]},

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import write_sources
+from lexforge.plans.frequencies import compile_frequencies
 from lexforge.plans import alignment, crossing, exports, meanings, readings, vocabulary
 from lexforge.plans.run import compile_all, run
 from lexforge.sources import readers, schemas
@@ -30,6 +31,19 @@ def test_frequencies(tables):
     assert rows["日"]["rank"] == rows["言"]["rank"] == 3
 
 
+def test_average_of_known_ranks(spark):
+    """Known ranks in four corpora: each symbol stands at its place among fillers."""
+    known = {"愛": (213, 56, 269, 494), "剛": (1758, 1149, 1201, 1273)}
+    corpora = {}
+    for i, prefix in enumerate(schemas.CORPORA):
+        places = {ranks[i]: symbol for symbol, ranks in known.items()}
+        corpora[prefix] = spark.createDataFrame(
+            [(places.get(r, f"{prefix}{r}"), 5000 - r, 0.0) for r in range(1, 2001)], schemas.SYMBOL_FREQUENCY)
+    rows = by(compile_frequencies(corpora), "freqKanji")
+    assert {k: r["avgRank"] for k, r in rows.items()} == {"愛": 258.0, "剛": 1345.25}
+    assert (rows["愛"]["rank"], rows["剛"]["rank"]) == (1, 2)
+
+
 def test_meanings(spark, tables):
     rows = by(tables["meanings"], "cmLiteral")
     assert pairs(rows["愛"]["meanings"]) == [("en", "love"), ("fr", "amour"), ("en", "affection")]
@@ -40,6 +54,7 @@ def test_meanings(spark, tables):
 
 
 def test_vocabulary(tables):
+    assert tables["vocabulary"].columns == schemas.WORD_MASTER
     rows = by(tables["vocabulary"], "word")
     assert rows["いつも"]["totalOcurrences"] == 133535
     assert tuple(rows["いつも"]["transliterations"]) == ("いつも", "いつも", "イツモ", "itsumo")

@@ -109,16 +109,13 @@ def test_lines_keep_their_place(spark, tmp_path):
 
 def test_paths_by_folder():
     paths = readers.SourcePaths.in_folder("/data/", cache="/c", tanos="/other/t.json")
-    assert paths.levels == "/data/jlpt-levels.json" and paths.tanos == "/other/t.json" and paths.cache == "/c"
-    assert paths.symbol_frequencies["wk"] == "/data/wikipedia.csv" and paths.sentences is None
+    assert paths.levels == "/data/levels.json" and paths.tanos == "/other/t.json" and paths.cache == "/c"
+    assert paths.symbol_frequencies["wk"] == "/data/wk.csv" and paths.sentences is None
 
 
 def test_command_line(spark, tmp_path):
-    p = write_sources(tmp_path)
-    for prefix, file in readers.FREQUENCY_FILES.items():
-        os.rename(p.symbol_frequencies[prefix], tmp_path / file)
-    main([str(tmp_path), str(tmp_path / "out"), *[
-        x for n in readers.FILES for x in (f"--{n.replace('_', '-')}", getattr(p, n))]])
+    write_sources(tmp_path)
+    main([str(tmp_path), str(tmp_path / "out"), "--lemmas", str(tmp_path / "lemmas.json")])
     assert spark.read.json(str(tmp_path / "out/symbol_summary")).count() == 7
     assert not os.path.exists(tmp_path / "out/word_entries")
 
