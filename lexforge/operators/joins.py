@@ -26,14 +26,15 @@ def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADC
     return n <= rows and (total or 0) <= size
 
 
-def spread(df: DataFrame, n: int = SALTS) -> Column:
+def spread(df: DataFrame, n: int) -> Column:
     """A number in 0..n-1 that scatters rows, copies of one row included.
 
     It depends on the row and on its input partition only, so a task that is run again assigns the
     same numbers.
     """
     hashed = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]
-    return F.pmod(F.xxhash64(*hashed) + F.spark_partition_id(), F.lit(n)).cast("int")
+    # the hash is reduced first: a sum with a full 64-bit hash could overflow
+    return F.pmod(F.pmod(F.xxhash64(*hashed), F.lit(n)) + F.spark_partition_id(), F.lit(n)).cast("int")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str,
@@ -83,7 +84,7 @@ def skew_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, ho
         for k in on:
             scattered = scattered | F.col(k).isNull()
     left = null_safe_join(big, marks, on, "left").withColumn(
-        "_salt", F.when(scattered, spread(big)).otherwise(0)).drop("_hot")
+        "_salt", F.when(scattered, spread(big, SALTS)).otherwise(0)).drop("_hot")
     right = null_safe_join(lookup, marks, on, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
     ).drop("_hot")

@@ -15,12 +15,13 @@ PART_ROWS = 50_000
 
 
 def nest(df: DataFrame, key: str, item: Column, out: str, order: Sequence[Column] = (),
-         part_rows: int = PART_ROWS, part: str = "part") -> DataFrame:
+         part_rows: int | None = None, part: str = "part") -> DataFrame:
     """Collect the items of each key into ``out``, sorted by ``order`` and then by the item.
 
     A key with more than ``part_rows`` rows continues on further rows, numbered by ``part`` from 0,
     so that no task has to hold the whole list of a hot key. All items are kept.
     """
+    part_rows = part_rows or PART_ROWS
     # keys go by their hash, which is never null; two keys that share one may only be split once more
     hashed = F.xxhash64(key).alias("_hash")
     counts = df.groupBy(hashed).agg(F.count("*").alias("_n")).filter(F.col("_n") > part_rows)
@@ -30,10 +31,9 @@ def nest(df: DataFrame, key: str, item: Column, out: str, order: Sequence[Column
     if hot.isEmpty():
         parted = df.withColumn(part, F.lit(0))
     else:
-        marked = df.select("*", hashed, spread(df, 1 << 20).alias("_at"))
-        parted = lookup_join(marked, hot, ["_hash"]).withColumn(
-            part, F.coalesce(F.pmod("_at", "_parts"), F.lit(0))
-        )
+        known = lookup_join(df.select("*", hashed), hot, ["_hash"])
+        place = F.pmod(spread(df, 1 << 20), F.col("_parts"))
+        parted = known.withColumn(part, F.when(F.col("_parts").isNotNull(), place).otherwise(0))
     sorting = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], item.alias("_item"))
     nested = parted.groupBy(key, part).agg(F.array_sort(F.collect_list(sorting)).alias(out))
     return nested.withColumn(out, F.transform(out, lambda x: x["_item"]))
@@ -57,7 +57,7 @@ def first_by(df: DataFrame, key: str, order: Column) -> DataFrame:
     return kept.select(key, "_row.*")
 
 
-def merged_lists(df: DataFrame, key: str, items: str, order: Column, part_rows: int = PART_ROWS) -> DataFrame:
+def merged_lists(df: DataFrame, key: str, items: str, order: Column, part_rows: int | None = None) -> DataFrame:
     """One list per key: the distinct items of all its rows, in order of first occurrence.
 
     Copies of an item are removed before the shuffle; very long lists continue as in :func:`nest`.

@@ -17,7 +17,12 @@ from lexforge.operators.joins import hot_keys, null_safe_join, skew_join
 from lexforge.operators.materialize import materialize
 
 WINDOW_ROWS = 100_000
-_ROW_BITS = 33
+ROW_BITS = 33
+
+
+def row_of(identifier: Column) -> Column:
+    """The number of a row in its partition, from 0, out of a monotonically increasing identifier."""
+    return identifier.bitwiseAND(F.lit((1 << ROW_BITS) - 1))
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (),
@@ -41,7 +46,7 @@ def number_rows(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (
     )
     table = materialize(
         ordered.withColumns(
-            {"_block": F.shiftright("_id", _ROW_BITS), "_row": F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))}
+            {"_block": F.shiftright("_id", ROW_BITS), "_row": row_of(F.col("_id"))}
         ).drop("_id"),
         "ordered",
     )
@@ -63,12 +68,14 @@ def _attach(df: DataFrame, ranks: DataFrame, keys: Sequence[str], small: bool) -
 
 
 def dense_ranks(df: DataFrame, ranks: Mapping[str, str], group: Sequence[str] = (), descending: bool = True,
-                window_rows: int = WINDOW_ROWS) -> DataFrame:
+                window_rows: int | None = None) -> DataFrame:
     """Add one dense rank per entry ``{new column: ranked column}``, inside each group.
 
     All ranked columns of one type share one pass. Nulls rank last when descending and first when
-    ascending. A plain window is used only where the distinct values number ``window_rows`` or less.
+    ascending. A plain window is used only where the distinct values number ``window_rows`` or less
+    (WINDOW_ROWS if not given).
     """
+    window_rows = WINDOW_ROWS if window_rows is None else window_rows
     by_type: dict[str, dict[str, str]] = {}
     for out, column in ranks.items():
         by_type.setdefault(df.schema[column].dataType.simpleString(), {})[out] = column

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.symbols import KANJI, distinct_symbols, has_symbol
 from lexforge.operators.joins import lookup_join
-from lexforge.operators.nesting import PART_ROWS, nest, symbols_of, whole_row
+from lexforge.operators.nesting import nest, symbols_of, whole_row
 
 
 def words_per_symbol(vocabulary: DataFrame, word: str = "word", columns: Sequence[str] | None = None,
                      order: Sequence[str] = ("rank", "word"), symbol: str = KANJI,
-                     part_rows: int = PART_ROWS) -> DataFrame:
+                     part_rows: int | None = None) -> DataFrame:
     """(vocabK, part, vocabsPerKanji): the word rows of every symbol, whole or narrowed to ``columns``.
 
     A common symbol occurs in a large share of all words; its list continues over several parts.

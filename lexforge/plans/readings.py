@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.functions.kana import clean_readings, reading_list, transliteration
-from lexforge.operators.nesting import PART_ROWS, nest
+from lexforge.operators.nesting import nest
 
 KUN, ON = "ja_kun", "ja_on"  # fixed values: entry types of the dictionary
 READINGS = """array<struct<reading:struct<original:string,hiragana:string,katakana:string,romaji:string>,
@@ -24,7 +24,7 @@ def reading_sums(vocabulary: DataFrame, pairs: str = "furigana", occurrences: st
     )
 
 
-def infer_readings(sums: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+def infer_readings(sums: DataFrame, part_rows: int | None = None) -> DataFrame:
     """(k, part, readingsWFreq): the sums of each symbol as one list."""
     furigana = F.struct(F.col("k").alias("kanji"), F.col("reading"))
     return nest(sums, "k", F.struct(furigana.alias("furigana"), "Occ"), "readingsWFreq", part_rows=part_rows)

@@ -62,7 +62,15 @@ def batches(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     lines = key_value_entries(customers.select("c_custkey", "c_name", "c_acctbal"), "c_custkey", "cst-")
     keyed = lines.withColumn("key", F.regexp_extract("entry", r"cst-(\d+)", 1).cast("long"))
-    return entry_batches(keyed, "master", 25, order=[F.asc("key")])
+    return entry_batches(keyed, "master", 25, order=[F.asc("key")]).drop("block")
+
+
+def unordered_batches(spark, sf_dir):
+    """Batches as the lines come; the lines of all bodies together are compared, since their order is free."""
+    lines = key_value_entries(table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"), "s_suppkey", "sup-")
+    bodies = entry_batches(lines, "master", 10)
+    inner = F.regexp_extract("body", r'^\{"RequestItems":\{"master": \[(.*)\]\}\}$', 1)
+    return bodies.select(F.explode(F.split(inner, r"(?<=\}\}\}\}), ")).alias("entry"))
 
 
 _BATCH_SQL = r"""WITH lines AS (SELECT c_custkey, '{"PutRequest": {"Item": {"hk": {"S": "cst-' || c_custkey
@@ -72,6 +80,9 @@ _BATCH_SQL = r"""WITH lines AS (SELECT c_custkey, '{"PutRequest": {"Item": {"hk"
 SELECT batch, count(*) AS n_entries,
     '{"RequestItems":{"master": [' || string_agg(entry, ', ' ORDER BY c_custkey) || ']}}' AS body FROM numbered GROUP BY batch"""
 
+_UNORDERED_SQL = r"""SELECT '{"PutRequest": {"Item": {"hk": {"S": "sup-' || s_suppkey || '"},"sk": {"S": "sup-' || s_suppkey
+    || '"},"data": {"S": "{\"s_suppkey\":' || s_suppkey || ',\"s_name\":\"' || s_name || '\"}"}}}}' AS entry FROM supplier"""
+
 QUERIES = {
     "word_summary": Query(word_summary, r"""SELECT doc_id AS w, regexp_replace(replace(list_reduce(list_prepend('',
             list_filter(string_split_regex(lower(text), '\P{L}+'), lambda t: t <> '')),
@@ -84,4 +95,5 @@ QUERIES = {
             CASE WHEN p_size > 5 THEN {_TYPE} ELSE '' END AS "hiraganaOn" FROM part"""),
     "kv_entries": Query(kv_entries, _KV_SQL),
     "entry_batches": Query(batches, _BATCH_SQL),
+    "unordered_batches": Query(unordered_batches, _UNORDERED_SQL),
 }

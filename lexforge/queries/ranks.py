@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexforge.functions.symbols import characters
+from lexforge.operators.joins import lookup_join
 from lexforge.operators.layout import more_than, order_by_rank, preview
 from lexforge.operators.materialize import materialize
 from lexforge.operators.ranking import dense_ranks
@@ -20,7 +21,7 @@ def _stacked(counts, symbol, n):
     """(corpus, symbol, occurrences, frequency) with the share of the corpus."""
     counts = materialize(counts, "counts")
     totals = counts.groupBy("lang").agg(F.sum(n).alias("_total"))
-    return counts.join(totals, "lang").select(
+    return lookup_join(counts, totals, ["lang"], "inner").select(
         F.col("lang").alias("corpus"), F.col(symbol).alias("symbol"), F.col(n).alias("occurrences"),
         (F.col(n) / F.col("_total")).alias("frequency"),
     )

@@ -110,7 +110,7 @@ def test_hot_keys_go_to_many_tasks(spark):
     hot = joins.hot_keys(big.groupBy("k").agg(F.count("*").alias("n")), ["k"], "n", above=1_000)
     assert rows(hot) == [(1,)]
     salted = big.join(F.broadcast(hot.withColumn("h", F.lit(1))), "k", "left").filter("h = 1").groupBy(
-        joins.spread(big).alias("s")).count()
+        joins.spread(big, joins.SALTS).alias("s")).count()
     assert salted.agg(F.max("count")).first()[0] < 200 and salted.agg(F.sum("count")).first()[0] == 20_001
 
 
@@ -146,8 +146,11 @@ def test_dictionary_duplicates(spark, tmp_path):
 
 def test_entry_batches(spark):
     df = spark.range(103).select(F.format_string("{\"e\": %03d},", "id").alias("entry")).repartition(4)
-    got = entry_batches(df, "tbl", 25).orderBy("batch").collect()
+    got = entry_batches(df, "tbl", 25, order=[F.asc("entry")]).orderBy("batch").collect()
     assert [r["n_entries"] for r in got] == [25, 25, 25, 25, 3]
+    free = entry_batches(df, "tbl", 10).collect()
+    assert sum(r["n_entries"] for r in free) == 103 and max(r["n_entries"] for r in free) == 10
+    assert len({(r["block"], r["batch"]) for r in free}) == len(free)
     assert got[4]["body"] == '{"RequestItems":{"tbl": [{"e": 100}, {"e": 101}, {"e": 102}]}}'
 
 

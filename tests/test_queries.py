@@ -5,6 +5,7 @@ import os
 import pytest
 
 from compare import differences, duck
+from lexforge.operators import joins, nesting, ranking
 from lexforge.queries import ALL
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -26,6 +27,17 @@ def test_query(spark, con, name):
         assert df.count() > 0
 
 
+@pytest.mark.parametrize("name", [n for n in ALL if ALL[n].sql])
+def test_query_as_on_large_tables(spark, con, name, monkeypatch):
+    """The same with every bound so low that no table is small: no broadcast, no plain window, lists in parts."""
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(joins, "HOT_ROWS", 100)
+    monkeypatch.setattr(joins, "SALTS", 7)
+    monkeypatch.setattr(ranking, "WINDOW_ROWS", 0)
+    monkeypatch.setattr(nesting, "PART_ROWS", 500)
+    assert differences(ALL[name].run(spark, SF), con, ALL[name].sql) == ""
+
+
 def test_plans_stay_in_the_jvm(spark):
     for name, query in ALL.items():
         assert "Python" not in query.run(spark, SF)._jdf.queryExecution().toString(), name
