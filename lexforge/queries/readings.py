@@ -16,7 +16,8 @@ def _vocabulary(spark, sf_dir):
     shifted = F.concat(F.slice("chars", F.lit(2), F.size("chars")), F.array(F.lit("-")))
     pairs = F.arrays_zip(F.col("chars").alias("kanji"), shifted.alias("reading"))
     words = term_counts(spark, sf_dir).select("term", F.col("n").alias("totalOcurrences"), chars.alias("chars"))
-    return words.withColumn("furigana", pairs).drop("chars")
+    # written, as the run does: a filter that Spark infers for the explode would be computed per token
+    return materialize(words.withColumn("furigana", pairs).drop("chars"), "words")
 
 
 _SUMS = TERMS + """, spots AS (
@@ -46,10 +47,10 @@ def _listed(df, text, out):
     return _bigrams(df, text).groupBy("k").agg(F.array_join(F.array_sort(F.collect_set("r")), "、").alias(out))
 
 
-def _dictionaries(spark, sf_dir):
+def _dictionaries(spark, sf_dir, words):
     """Hub: the letters of the terms. Dictionaries: next letters in part names, types, brands and segments."""
     parts, customers = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
-    letters = term_counts(spark, sf_dir).select(F.explode(characters(F.col("term"))).alias("kanji")).distinct()
+    letters = words.select(F.explode(characters(F.col("term"))).alias("kanji")).distinct()
     kinds = _bigrams(parts, F.col("p_name")).withColumn("type", F.lit("ja_kun")).unionByName(
         _bigrams(parts, F.lower("p_type")).withColumn("type", F.lit("ja_on")))
     entries = kinds.groupBy(F.col("k").alias("literal")).agg(F.array_sort(F.collect_list(
@@ -63,15 +64,17 @@ def _dictionaries(spark, sf_dir):
 
 
 def listed_readings(spark, sf_dir):
-    listed = dictionary_readings(*_dictionaries(spark, sf_dir), use_tanos=True)
+    listed = dictionary_readings(*_dictionaries(spark, sf_dir, term_counts(spark, sf_dir)), use_tanos=True)
     originals = {"kunYomiRaw": "kun", "onYomiRaw": "on_"}
     return listed.select("readingsKanji", F.array_join("readings", "|").alias("readings"), *[
         F.array_join(F.transform(c, lambda t: t["original"]), "|").alias(a) for c, a in originals.items()])
 
 
 def combined_readings(spark, sf_dir):
-    sums = materialize(reading_sums(_vocabulary(spark, sf_dir)), "sums")
-    combined = combine_readings(dictionary_readings(*_dictionaries(spark, sf_dir)), sums)
+    words = _vocabulary(spark, sf_dir)
+    sums = materialize(reading_sums(words), "sums")
+    listed = materialize(dictionary_readings(*_dictionaries(spark, sf_dir, words)), "listed")
+    combined = combine_readings(listed, sums)
     return combined.select("readingsKanji", *[
         F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["reading"]["original"], x["frequency"].cast("string"))), "|").alias(a)
         for c, a in {"kunYomi": "kun", "onYomi": "on_"}.items()])

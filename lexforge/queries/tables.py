@@ -112,7 +112,8 @@ def _letter_frequencies(spark, sf_dir):
 def symbol_table(spark, sf_dir):
     """Letters as symbols: dictionary fields and meanings from the parts that hold them, readings from the terms."""
     parts = table(spark, sf_dir, "part")
-    hub, entries, alive, tanos = _dictionaries(spark, sf_dir)
+    words = _vocabulary(spark, sf_dir)
+    hub, entries, alive, tanos = _dictionaries(spark, sf_dir, words)
     hub = materialize(hub.withColumn("level", F.ascii("kanji").cast("long")), "hub")
     holding = parts.select("*", F.explode(F.array_distinct(characters(F.col("p_name")))).alias("k"))
     facts = holding.groupBy("k").agg(
@@ -128,8 +129,8 @@ def symbol_table(spark, sf_dir):
     records = parts.select("p_partkey", F.concat(
         F.substring("p_name", 1, 1), F.lit(":"), "p_type", F.lit("("), "p_brand", F.lit(","), F.col("p_size").cast("string"), F.lit(")")).alias("line"))
     lines = first_by(records.withColumn("c", F.substring("line", 1, 1)), "c", F.col("p_partkey"))
-    sums = materialize(reading_sums(_vocabulary(spark, sf_dir)), "sums")
-    listed = dictionary_readings(hub, kanjidic, kanji_alive, tanos)
+    sums = materialize(reading_sums(words), "sums")
+    listed = materialize(dictionary_readings(hub, kanjidic, kanji_alive, tanos), "listed")
     master = symbol_master(
         hub, kanjidic, kanji_alive, readers.decompositions(lines, "line", symbol=r"\p{L}"), _letter_frequencies(spark, sf_dir),
         combine_meanings(kanjidic, kanji_alive, tanos), sums, combine_readings(listed, sums))
