@@ -68,9 +68,10 @@ def align_readings(words: DataFrame, candidates: DataFrame, word: str, reading:
     spelled = words.select(word, reading).filter(has_symbol(F.col(word), symbol))
     pairs = spelled.withColumn("symbol", F.explode(distinct_symbols(F.col(word), symbol)))
     found = lookup_join(pairs, candidates.select("symbol", "readings"), ["symbol"])
-    # a word has as many rows here as it has distinct symbols
-    known = found.groupBy(word, reading).agg(
-        F.map_from_entries(F.collect_list(F.struct("symbol", F.coalesce("readings", no_strings())))).alias("_known")
+    # a word has as many rows here as it has distinct symbols; copies of a word fall together
+    known = found.groupBy(word).agg(
+        F.min(reading).alias(reading),
+        F.map_from_entries(F.collect_set(F.struct("symbol", F.coalesce("readings", no_strings())))).alias("_known")
     )
     chars = characters(F.col(word))
     choices = F.transform(

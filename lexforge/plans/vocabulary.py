@@ -72,7 +72,9 @@ def compile_vocabulary(words: DataFrame, dictionary: DataFrame, candidates: Data
     looked_up = totals.join(dictionary, totals["word"] == dictionary["edictWord"], "left").drop("edictWord")
     based = with_base_forms(looked_up, lemmas)
     spelled = with_scripts(based, "reading", symbol=symbol)
-    spoken = spelled.filter(F.col("reading").isNotNull()).select("word", to_hiragana(F.col("reading")).alias("spoken"))
+    # from the words again, not from the ranked table, whose joins would run twice
+    known = dictionary.filter(F.col("reading").isNotNull()).select("edictWord", to_hiragana(F.col("reading")).alias("spoken"))
+    spoken = words.select("word").join(known, F.col("word") == F.col("edictWord")).drop("edictWord")
     aligned = align_readings(spoken, candidates, "word", "spoken", symbol=symbol)
     renamed = aligned.select(F.col("word").alias("_w"), "furigana")
     joined = spelled.join(renamed, spelled["word"] == renamed["_w"], "left").withColumn(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import write_sources
+from lexforge.operators import joins, ranking
 from lexforge.plans.frequencies import compile_frequencies
 from lexforge.plans import alignment, crossing, exports, meanings, readings, vocabulary
 from lexforge.plans.run import compile_all, run
@@ -145,6 +146,23 @@ def test_side_tables(tables):
     assert tables["wiki_radicals"].first()["stroke"] == 4
 
 
+def test_as_on_large_tables(spark, tables, tmp_path, monkeypatch):
+    """No broadcast, no plain window, every key hot: the same tables."""
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(joins, "HOT_ROWS", 0)
+    monkeypatch.setattr(joins, "SALTS", 3)
+    monkeypatch.setattr(ranking, "WINDOW_ROWS", 0)
+    large = compile_all(spark, write_sources(tmp_path))
+    for name, df in tables.items():
+        assert sorted(large[name].toJSON().collect()) == sorted(df.toJSON().collect()), name
+
+
+def test_copies_of_a_word_align_once(spark):
+    candidates = spark.createDataFrame([("日", ["ひ"])], "symbol string, readings array<string>")
+    words = spark.createDataFrame([("日日", "ひひ")] * 3, "word string, reading string")
+    assert alignment.align_readings(words, candidates, "word", "reading").count() == 1
+
+
 def test_no_python_in_the_plans(tables):
     for name, df in tables.items():
         plan = df._jdf.queryExecution().toString()
