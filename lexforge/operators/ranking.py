@@ -68,14 +68,17 @@ def _attach(df: DataFrame, ranks: DataFrame, keys: Sequence[str], small: bool) -
 
 
 def dense_ranks(df: DataFrame, ranks: Mapping[str, str], group: Sequence[str] = (), descending: bool = True,
-                window_rows: int | None = None) -> DataFrame:
+                window_rows: int | None = None, written: bool = False) -> DataFrame:
     """Add one dense rank per entry ``{new column: ranked column}``, inside each group.
 
     All ranked columns of one type share one pass. Nulls rank last when descending and first when
     ascending. A plain window is used only where the distinct values number ``window_rows`` or less
-    (WINDOW_ROWS if not given).
+    (WINDOW_ROWS if not given). ``written`` says that the table is a written one, whose rows are counted
+    at no cost: with that few rows it is ranked as it stands.
     """
     window_rows = WINDOW_ROWS if window_rows is None else window_rows
+    if written and df.count() <= window_rows:
+        return df.withColumns({out: _plain_rank(group, F.col(c), descending) for out, c in ranks.items()})
     by_type: dict[str, dict[str, str]] = {}
     for out, column in ranks.items():
         by_type.setdefault(df.schema[column].dataType.simpleString(), {})[out] = column
@@ -84,18 +87,22 @@ def dense_ranks(df: DataFrame, ranks: Mapping[str, str], group: Sequence[str] =
     return df
 
 
+def _plain_rank(group: Sequence[str], value: Column, descending: bool) -> Column:
+    within = Window.partitionBy(*group).orderBy(value.desc() if descending else value.asc())
+    return F.dense_rank().over(within).cast("long")
+
+
 def _dense_ranks_of_type(df: DataFrame, wanted: Mapping[str, str], group: list[str], descending: bool,
                          window_rows: int) -> DataFrame:
     items = [F.struct(F.lit(out).alias("_metric"), F.col(c).alias("_value")) for out, c in wanted.items()]
     values = df.select(*group, F.explode(F.array(*items)).alias("_e")).select(*group, "_e.*")
     keys = [*group, "_metric", "_value"]
     counted = materialize(values.groupBy(*keys).agg(F.count("*").alias("_rows")), "values")
-    order = F.col("_value").desc() if descending else F.col("_value").asc()
     small = counted.count() <= window_rows
     if small:
-        within = Window.partitionBy(*group, "_metric").orderBy(order)
-        ranked = counted.withColumn("_rank", F.dense_rank().over(within).cast("long"))
+        ranked = counted.withColumn("_rank", _plain_rank([*group, "_metric"], F.col("_value"), descending))
     else:
+        order = F.col("_value").desc() if descending else F.col("_value").asc()
         ranked = number_rows(counted, [order], [*group, "_metric"], "_rank")
         ranked = materialize(ranked, "ranks")
     for out, column in wanted.items():

@@ -47,4 +47,4 @@ def compile_stacked(counts: DataFrame, prefixes: Sequence[str], key: str = "freq
     total = reduce(lambda a, b: a + b, [F.col(p + "Rank") for p in prefixes])
     # the sum is null where a corpus lacks the symbol
     kept = wide.withColumn("avgRank", total / F.lit(float(len(prefixes)))).filter(F.col("avgRank").isNotNull())
-    return dense_ranks(materialize(kept, "averages"), {"rank": "avgRank"}, descending=False)
+    return dense_ranks(materialize(kept, "averages"), {"rank": "avgRank"}, descending=False, written=True)

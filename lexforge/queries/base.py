@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexforge.functions.symbols import terms
@@ -21,16 +21,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def term_counts(spark: SparkSession, sf_dir: str, by: list[str] | None = None) -> DataFrame:
+# Four corpora that hold every document between them: five sources each.
+CORPORA = ["a", "b", "c", "d"]
+
+
+def corpus() -> Column:
+    number = F.substring("source", 4, 9).try_cast("int")
+    return F.when(number < 5, "a").when(number < 10, "b").when(number < 15, "c").otherwise("d")
+
+
+def term_counts(spark: SparkSession, sf_dir: str, **by: Column) -> DataFrame:
     """(by..., term, n) over the whole texts of all documents."""
-    columns = by or []
+    columns = [c.alias(name) for name, c in by.items()]
     documents = widen(table(spark, sf_dir, "documents").select(*columns, "text"))
-    exploded = documents.select(*columns, F.explode(terms(F.col("text"))).alias("term"))
-    return exploded.groupBy(*columns, "term").agg(F.count("*").alias("n"))
+    exploded = documents.select(*by, F.explode(terms(F.col("text"))).alias("term"))
+    return exploded.groupBy(*by, "term").agg(F.count("*").alias("n"))
 
 
 TOKENS = r"""tokens AS (
-    SELECT * FROM (SELECT doc_id, lang, unnest(string_split_regex(lower(text), '\P{L}+')) AS term FROM documents)
+    SELECT * FROM (SELECT lang, CASE WHEN TRY_CAST(substr(source, 4) AS INT) < 5 THEN 'a'
+        WHEN TRY_CAST(substr(source, 4) AS INT) < 10 THEN 'b' WHEN TRY_CAST(substr(source, 4) AS INT) < 15 THEN 'c' ELSE 'd' END AS corpus,
+        unnest(string_split_regex(lower(text), '\P{L}+')) AS term FROM documents)
     WHERE term <> '')"""
 TERMS = TOKENS + """, terms AS (SELECT term, count(*) AS n FROM tokens GROUP BY term)"""
 # one row per term and distinct letter, with the place where the letter occurs first

@@ -46,7 +46,7 @@ def star_master(spark, sf_dir):
 
 def _vocabulary(spark, sf_dir):
     words = materialize(term_counts(spark, sf_dir), "words").withColumnsRenamed({"term": "word", "n": "totalOcurrences"})
-    return materialize(dense_ranks(words, {"rank": "totalOcurrences"}), "ranked")
+    return materialize(dense_ranks(words, {"rank": "totalOcurrences"}, written=True), "ranked")
 
 
 def _letters(vocabulary):

@@ -11,53 +11,53 @@ from lexforge.operators.materialize import materialize
 from lexforge.operators.ranking import dense_ranks
 from lexforge.plans.frequencies import compile_stacked
 from lexforge.plans.vocabulary import WORD_RANKS, word_totals
-from lexforge.queries.base import TOKENS, Query, table, term_counts
-
-# The four languages are the four corpora; between them they hold every document.
-CORPORA = ["de", "en", "es", "fr"]
-
+from lexforge.queries.base import CORPORA, TOKENS, Query, corpus, table, term_counts
 
 def _stacked(counts, symbol, n):
     """(corpus, symbol, occurrences, frequency) with the share of the corpus."""
     counts = materialize(counts, "counts")
-    totals = counts.groupBy("lang").agg(F.sum(n).alias("_total"))
-    return lookup_join(counts, totals, ["lang"], "inner").select(
-        F.col("lang").alias("corpus"), F.col(symbol).alias("symbol"), F.col(n).alias("occurrences"),
+    totals = counts.groupBy("corpus").agg(F.sum(n).alias("_total"))
+    return lookup_join(counts, totals, ["corpus"], "inner").select(
+        "corpus", F.col(symbol).alias("symbol"), F.col(n).alias("occurrences"),
         (F.col(n) / F.col("_total")).alias("frequency"),
     )
 
 
 def corpus_ranks(spark, sf_dir):
-    counts = term_counts(spark, sf_dir, ["lang"])
+    counts = term_counts(spark, sf_dir, corpus=corpus())
     return compile_stacked(_stacked(counts, "term", "n"), CORPORA, key="term")
 
 
 def symbol_ranks(spark, sf_dir):
     """The same for letters; they are counted from the term counts, not from the texts."""
-    letters = term_counts(spark, sf_dir, ["lang"]).select("lang", "n", F.explode(characters(F.col("term"))).alias("letter"))
-    counts = letters.groupBy("lang", "letter").agg(F.sum("n").alias("n"))
-    return compile_stacked(_stacked(counts, "letter", "n"), CORPORA, key="letter")
+    return compile_stacked(_stacked(letter_counts(spark, sf_dir, corpus()), "letter", "n"), CORPORA, key="letter")
+
+
+def letter_counts(spark, sf_dir, by):
+    terms = term_counts(spark, sf_dir, corpus=by)
+    letters = terms.select("corpus", "n", F.explode(characters(F.col("term"))).alias("letter"))
+    return letters.groupBy("corpus", "letter").agg(F.sum("n").alias("n"))
 
 
 def _corpus_sql(counts: str, key: str, final: str) -> str:
-    joins = " ".join(f"JOIN r AS {c} ON {c}.lang = '{c}' AND {c}.symbol = de.symbol" for c in CORPORA[1:])
+    joins = " ".join(f"JOIN r AS {c} ON {c}.corpus = '{c}' AND {c}.symbol = a.symbol" for c in CORPORA[1:])
     columns = ", ".join(
         f'{c}.n AS "{c}Ocu", {c}.n / {c}.total AS "{c}Freq", {c}.rk AS "{c}Rank"' for c in CORPORA)
     total = " + ".join(f"{c}.rk" for c in CORPORA)
     return f"""WITH {counts}, r AS (
-        SELECT lang, symbol, n, sum(n) OVER (PARTITION BY lang)::DOUBLE AS total,
-               dense_rank() OVER (PARTITION BY lang ORDER BY n DESC) AS rk FROM counts
+        SELECT corpus, symbol, n, sum(n) OVER (PARTITION BY corpus)::DOUBLE AS total,
+               dense_rank() OVER (PARTITION BY corpus ORDER BY n DESC) AS rk FROM counts
     ), joined AS (
-        SELECT de.symbol AS {key}, {columns}, ({total}) / 4.0E0 AS "avgRank"
-        FROM r AS de {joins} WHERE de.lang = 'de'
+        SELECT a.symbol AS {key}, {columns}, ({total}) / 4.0E0 AS "avgRank"
+        FROM r AS a {joins} WHERE a.corpus = 'a'
     ), done AS (SELECT *, dense_rank() OVER (ORDER BY "avgRank") AS rank FROM joined) {final}"""
 
 
 _TERM_COUNTS = TOKENS + """, counts AS (
-    SELECT lang, term AS symbol, count(*)::BIGINT AS n FROM tokens GROUP BY lang, term)"""
+    SELECT corpus, term AS symbol, count(*)::BIGINT AS n FROM tokens GROUP BY corpus, term)"""
 _LETTER_COUNTS = TOKENS + """, counts AS (
-    SELECT lang, symbol, count(*)::BIGINT AS n
-    FROM (SELECT lang, unnest(string_split(term, '')) AS symbol FROM tokens) GROUP BY lang, symbol)"""
+    SELECT corpus, symbol, count(*)::BIGINT AS n
+    FROM (SELECT corpus, unnest(string_split(term, '')) AS symbol FROM tokens) GROUP BY corpus, symbol)"""
 
 
 def top_ranks(spark, sf_dir):
@@ -83,7 +83,7 @@ def _media_words(spark, sf_dir):
 
 
 def word_ranks(spark, sf_dir):
-    words = dense_ranks(materialize(_media_words(spark, sf_dir), "words"), WORD_RANKS)
+    words = dense_ranks(materialize(_media_words(spark, sf_dir), "words"), WORD_RANKS, written=True)
     totals = word_totals(words, ["internetOcurrences", "novelOcurrences", "subtitlesOcurrences"])
     return more_than(totals, "totalOcurrences", 500)
 

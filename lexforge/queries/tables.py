@@ -13,7 +13,7 @@ from lexforge.plans.meanings import combine_meanings
 from lexforge.plans.readings import combine_readings, dictionary_readings, reading_sums
 from lexforge.plans.vocabulary import compile_dictionary, compile_vocabulary
 from lexforge.queries.base import TOKENS, Query, table, term_counts
-from lexforge.queries.ranks import _stacked
+from lexforge.queries.ranks import _stacked, letter_counts
 from lexforge.queries.readings import _BOOKS, _dictionaries, _lists_sql, _vocabulary
 from lexforge.queries.symbols import CONSONANT, _romaji_sql
 from lexforge.sources import readers
@@ -26,7 +26,7 @@ SPELLED = "しちきにひいりみらまおぱかるさたうびわよ"
 
 def _words(spark, sf_dir):
     """Terms with their counts in three media, one for each group of languages."""
-    counts = term_counts(spark, sf_dir, ["lang"]).groupBy(F.col("term").alias("word")).agg(*[
+    counts = term_counts(spark, sf_dir, lang=F.col("lang")).groupBy(F.col("term").alias("word")).agg(*[
         F.sum(F.when(F.col("lang").isin(langs), F.col("n")).otherwise(0)).alias(f"{medium}Ocurrences")
         for medium, langs in MEDIA.items()])
     counts = materialize(counts, "media")
@@ -103,10 +103,9 @@ CORPORA = {"de": "ao", "en": "tw", "es": "wk", "fr": "news"}
 
 
 def _letter_frequencies(spark, sf_dir):
-    letters = term_counts(spark, sf_dir, ["lang"]).select("lang", "n", F.explode(characters(F.col("term"))).alias("letter"))
-    stacked = _stacked(letters.groupBy("lang", "letter").agg(F.sum("n").alias("n")), "letter", "n")
+    """Languages as corpora."""
     names = F.create_map(*[F.lit(x) for pair in CORPORA.items() for x in pair])
-    return compile_stacked(stacked.withColumn("corpus", names[F.col("corpus")]), list(CORPORA.values()))
+    return compile_stacked(_stacked(letter_counts(spark, sf_dir, names[F.col("lang")]), "letter", "n"), list(CORPORA.values()))
 
 
 def symbol_table(spark, sf_dir):

@@ -38,6 +38,7 @@ def test_dense_ranks(spark, window_rows, descending, group):
     want = df.withColumn("r", rank("v")).withColumn("s", rank("w"))
     assert got.columns == want.columns
     assert rows(got) == rows(want)
+    assert rows(ranking.dense_ranks(df, {"r": "v", "s": "w"}, group, descending, window_rows, written=True)) == rows(want)
 
 
 def test_dense_ranks_share_a_pass(spark):
