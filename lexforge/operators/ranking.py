@@ -60,13 +60,6 @@ def number_rows(df: DataFrame, order: Sequence[Column], group: Sequence[str] = (
     )
 
 
-def _attach(df: DataFrame, ranks: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
-    """Bring a rank back to the rows by value; ``ranks`` counts the rows per value in ``_rows``."""
-    if small:
-        return null_safe_join(df, F.broadcast(ranks.drop("_rows")), keys, "left")
-    return skew_join(df, ranks.drop("_rows"), keys, "left", hot_keys(ranks, keys, "_rows"), null_safe=True)
-
-
 def dense_ranks(df: DataFrame, ranks: Mapping[str, str], group: Sequence[str] = (), descending: bool = True,
                 window_rows: int | None = None, written: bool = False) -> DataFrame:
     """Add one dense rank per entry ``{new column: ranked column}``, inside each group.
@@ -104,10 +97,14 @@ def _dense_ranks_of_type(df: DataFrame, wanted: Mapping[str, str], group: list[s
     else:
         order = F.col("_value").desc() if descending else F.col("_value").asc()
         ranked = number_rows(counted, [order], [*group, "_metric"], "_rank")
-        ranked = materialize(ranked, "ranks")
+    # the ranks go back to the rows by value
     for out, column in wanted.items():
+        keys = [*group, column]
         own = ranked.filter(F.col("_metric") == out).select(
-            *group, F.col("_value").alias(column), F.col("_rank").alias(out), "_rows"
-        )
-        df = _attach(df, own, [*group, column], small)
+            *group, F.col("_value").alias(column), F.col("_rank").alias(out))
+        if small:
+            df = null_safe_join(df, F.broadcast(own), keys, "left")
+        else:
+            rows = counted.filter(F.col("_metric") == out).withColumnRenamed("_value", column)
+            df = skew_join(df, own, keys, "left", hot_keys(rows, keys, "_rows"), null_safe=True)
     return df
