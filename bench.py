@@ -14,7 +14,7 @@ HEADLINES = [
     "corpus_ranks", "symbol_ranks", "word_ranks", "full_rank", "dictionary_parse", "dictionary_merged",
     "meaning_union", "star_master", "left_enrich", "inferred_readings", "combined_readings", "alignment",
     "kana_scripts", "symbol_words", "symbol_words_in_parts", "word_symbols", "word_summary", "symbol_summary",
-    "kv_entries", "entry_batches", "json_roundtrip", "order_profile",
+    "kv_entries", "entry_batches", "json_roundtrip", "order_profile", "vocabulary", "symbol_table",
 ]
 
 

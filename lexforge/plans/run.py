@@ -46,8 +46,8 @@ def compile_all(spark: SparkSession, paths: SourcePaths) -> dict[str, DataFrame]
     meanings = stage("meanings", lambda: combine_meanings(kanjidic, kanji_alive, tanos))
     listed = stage("dictionary-readings", lambda: dictionary_readings(levels, kanjidic, kanji_alive, tanos))
     lemmas = spark.read.schema("surface string, lemma string").json(paths.lemmas) if paths.lemmas else None
-    vocabulary = stage("vocabulary", lambda: compile_vocabulary(
-        readers.word_frequencies(spark, paths.word_frequencies), dictionary, reading_candidates(listed), lemmas))
+    words = stage("words", lambda: readers.word_frequencies(spark, paths.word_frequencies))
+    vocabulary = stage("vocabulary", lambda: compile_vocabulary(words, dictionary, reading_candidates(listed), lemmas))
     sums = stage("reading-sums", lambda: reading_sums(vocabulary))
     readings = stage("readings", lambda: combine_readings(listed, sums))
     parts = readers.decompositions(readers.text_lines(spark, paths.decompositions))

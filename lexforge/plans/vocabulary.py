@@ -64,10 +64,11 @@ def compile_vocabulary(words: DataFrame, dictionary: DataFrame, candidates: Data
     """Compile the word table.
 
     ``words`` holds one row per word with numeric counts and shares, ``dictionary`` one row per
-    headword, ``candidates`` the possible readings per symbol as (symbol, readings). The result is
-    not sorted; sort it where it is written.
+    headword, ``candidates`` the possible readings per symbol as (symbol, readings). All three are read
+    more than once and should be written tables. The result is not sorted; sort it where it is
+    written.
     """
-    ranked = dense_ranks(words, WORD_RANKS)
+    ranked = dense_ranks(words, WORD_RANKS, written=True)
     totals = word_totals(ranked, WORD_COUNTS)
     looked_up = totals.join(dictionary, totals["word"] == dictionary["edictWord"], "left").drop("edictWord")
     based = with_base_forms(looked_up, lemmas)

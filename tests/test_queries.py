@@ -40,4 +40,6 @@ def test_query_as_on_large_tables(spark, con, name, monkeypatch):
 
 def test_plans_stay_in_the_jvm(spark):
     for name, query in ALL.items():
-        assert "Python" not in query.run(spark, SF)._jdf.queryExecution().toString(), name
+        plan = query.run(spark, SF)._jdf.queryExecution().toString()
+        for unwanted in ("Python", "ArrowEval", "NestedLoop", "CartesianProduct"):
+            assert unwanted not in plan, (name, unwanted)
