@@ -26,7 +26,7 @@ def more_than(df: DataFrame, column: str, bound: int) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int = 50) -> DataFrame:
-    """The first rows, as a report; the reference size of a preview is 50."""
+    """The first rows, as a report; 50 of them unless told otherwise."""
     return df.limit(n)
 
 

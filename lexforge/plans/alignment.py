@@ -73,14 +73,13 @@ def align_readings(words: DataFrame, candidates: DataFrame, word: str, reading:
         F.min(reading).alias(reading),
         F.map_from_entries(F.collect_set(F.struct("symbol", F.coalesce("readings", no_strings())))).alias("_known")
     )
+    # the map holds every symbol of the word, so a character that is not in it stands for itself
     chars = characters(F.col(word))
     choices = F.transform(
-        chars,
-        lambda c: F.when(is_symbol(c, symbol), F.try_element_at(F.col("_known"), c)).otherwise(F.array(to_hiragana(c))),
-    )
+        chars, lambda c: F.coalesce(F.try_element_at(F.col("_known"), c), F.array(to_hiragana(c))))
     split = known.withColumn("_chars", chars).withColumn("_path", _split_reading(choices, F.col(reading)))
     size = F.size("_chars")
-    first = F.array_position(F.transform("_chars", lambda c: is_symbol(c, symbol)), F.lit(True)).cast("int")
+    first = F.array_position(F.transform("_chars", lambda c: F.map_contains_key("_known", c)), F.lit(True)).cast("int")
     blank = F.lit("")
     fallback = F.concat(
         F.array_repeat(blank, first - 1),
@@ -93,6 +92,6 @@ def align_readings(words: DataFrame, candidates: DataFrame, word: str, reading:
             F.arrays_zip(F.col("_chars").alias("kanji"), path.alias("reading")),
             lambda p: F.struct(p["kanji"].alias("kanji"), p["reading"].alias("reading")),
         ),
-        lambda p: is_symbol(p["kanji"], symbol),
+        lambda p: F.map_contains_key("_known", p["kanji"]),
     )
     return split.select(word, paired.alias(out))

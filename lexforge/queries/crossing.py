@@ -10,7 +10,7 @@ from lexforge.operators.materialize import materialize
 from lexforge.operators.profile import profile
 from lexforge.operators.ranking import dense_ranks
 from lexforge.plans.crossing import symbols_per_word, symbols_with_words, words_per_symbol, words_with_symbols
-from lexforge.queries.base import LETTERS, TERMS, Query, table, term_counts
+from lexforge.queries.base import LETTERS, Query, table, term_counts
 
 LETTER = r"\p{L}"
 

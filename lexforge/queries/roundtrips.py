@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexforge.operators.materialize import work_dir, work_path
+from lexforge.operators.materialize import work_path
 from lexforge.plans.frequencies import compile_frequencies
 from lexforge.queries.base import Query, table
 from lexforge.sources import readers, sinks
@@ -13,7 +13,7 @@ from lexforge.sources.cache import cached, source_fingerprint
 
 def cache_roundtrip(spark, sf_dir):
     """Sums per part, from the cache: the second call reads what the first one wrote."""
-    path = f"{work_dir(spark).rstrip('/')}/lexforge-lineitem"
+    path = work_path(spark, "sums")
     source = f"{sf_dir}/lineitem.parquet"
 
     def build():

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexforge.functions.kana import GLIDES, SMALL_Y, SYLLABLES, HIRAGANA, KATAKANA, transliteration
-from lexforge.functions.symbols import characters, distinct_symbols, has_symbol
+from lexforge.functions.kana import HIRAGANA, KATAKANA, SYLLABLES, transliteration
+from lexforge.functions.symbols import distinct_symbols, has_symbol
 from lexforge.operators.materialize import materialize
 from lexforge.plans.alignment import align_readings
 from lexforge.plans.vocabulary import with_base_forms, with_scripts

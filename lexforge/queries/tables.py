@@ -82,7 +82,8 @@ _VOCABULARY_SQL = f"""WITH {TOKENS}, counts AS (
 ), turns AS (
     SELECT conv_id, turn, list_filter(string_split_regex(lower(text), '\\P{{L}}+'), lambda t: t <> '') AS t FROM conversations
 ), dictionary AS (
-    SELECT t[1] AS head, translate(t[1], '{CONSONANTS}', '{SPELLED}') AS reading, array_to_string(list_filter(t[2:3], lambda x: x <> ''), '|') AS translations
+    SELECT t[1] AS head, translate(t[1], '{CONSONANTS}', '{SPELLED}') AS reading,
+        array_to_string(list_filter(t[2:3], lambda x: x <> ''), '|') AS translations
     FROM turns WHERE len(t) > 0 QUALIFY row_number() OVER (PARTITION BY t[1] ORDER BY conv_id, turn) = 1
 ), spelled AS (
     SELECT r.*, coalesce(b.word, r.word) AS base, translations, CASE WHEN r.marked THEN reading ELSE r.word END AS spoken, reading
@@ -120,13 +121,15 @@ def symbol_table(spark, sf_dir):
         F.struct(F.min("p_brand").alias("type"), F.max("p_brand").alias("value")).alias("variant"),
         F.array_sort(F.collect_set(F.struct(F.lit("en").alias("m_lang"), F.lower("p_type").alias("meaning")))).alias("kdMeanings"))
     kanjidic = materialize(entries.join(facts, entries["literal"] == facts["k"], "left").drop("k"), "kanjidic")
-    extra = ["examples", "rad_meaning", "rad_name", "rad_name_ja", "rad_order", "rad_position", "rad_position_ja", "rad_stroke", "radical"]
+    extra = ["examples", "rad_meaning", "rad_name", "rad_name_ja", "rad_order", "rad_position", "rad_position_ja",
+             "rad_stroke", "radical"]
     kanji_alive = materialize(alive.withColumns({
         "kname": F.col("kaKunYomi_ja"), "kaMeanings": F.concat("kaKanji", F.lit(", economy")),
         **{c: F.lit(None).cast("string") for c in extra}}), "alive")
     tanos = materialize(tanos.withColumn("tanosMeaning", F.concat(F.lit("brand "), "tanosKanji")), "tanos")
     records = parts.select("p_partkey", F.concat(
-        F.substring("p_name", 1, 1), F.lit(":"), "p_type", F.lit("("), "p_brand", F.lit(","), F.col("p_size").cast("string"), F.lit(")")).alias("line"))
+        F.substring("p_name", 1, 1), F.lit(":"), "p_type", F.lit("("), "p_brand", F.lit(","),
+        F.col("p_size").cast("string"), F.lit(")")).alias("line"))
     lines = first_by(records.withColumn("c", F.substring("line", 1, 1)), "c", F.col("p_partkey"))
     sums = materialize(reading_sums(words), "sums")
     listed = materialize(dictionary_readings(hub, kanjidic, kanji_alive, tanos), "listed")
@@ -137,7 +140,8 @@ def symbol_table(spark, sf_dir):
         "kanji", "level", "grade", "stroke_count", F.col("variant.value").alias("variant"), "kname", F.col("components.phonetics").alias("part"),
         "aoOcu", "newsRank", "avgRank", "rank",
         F.array_join(F.transform("meanings", lambda m: m["meaning"]), "|").alias("meanings"),
-        *[F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["reading"]["original"], x["frequency"].cast("string"))), "|").alias(a)
+        *[F.array_join(F.transform(c, lambda x: F.concat_ws(
+            ":", x["reading"]["original"], x["frequency"].cast("string"))), "|").alias(a)
           for c, a in {"kunYomi": "kun", "onYomi": "on_"}.items()])
 
 

@@ -7,9 +7,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexforge import __version__
 
-def source_fingerprint(spark: SparkSession, paths: Sequence[str], version: str = "1") -> str:
-    """A short digest of the input files' names, sizes and times; no file is read."""
+
+def source_fingerprint(spark: SparkSession, paths: Sequence[str], version: str = __version__) -> str:
+    """A short digest of the input files' names, sizes and times, and of the version; no file is read."""
     # the file content column is not selected, so the scan only lists
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
     seen = files.select(F.xxhash64("path", "length", "modificationTime").alias("h"), "length").agg(

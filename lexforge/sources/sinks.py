@@ -12,7 +12,8 @@ def _laid_out(df: DataFrame, partitions: int | None, rows_per_file: int | None,
     if single_file:
         if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
             raise ValueError(f"a single file is for {SINGLE_FILE_ROWS} rows or less; use partitions=")
-        df = df.coalesce(1)
+        # a shuffle, so that only the writing is one task
+        df = df.repartition(1)
     elif partitions:
         df = df.repartition(partitions)
     writer = df.write.mode("overwrite")
