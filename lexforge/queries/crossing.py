@@ -58,7 +58,8 @@ def _letters(vocabulary):
 def symbol_words(spark, sf_dir):
     """Letters with all their words; the lists come out again as rows, so that the whole of them is compared."""
     vocabulary = _vocabulary(spark, sf_dir)
-    nested = symbols_with_words(_letters(vocabulary), words_per_symbol(vocabulary, symbol=LETTER))
+    letters = materialize(_letters(vocabulary), "letters")
+    nested = symbols_with_words(letters, words_per_symbol(vocabulary, symbol=LETTER))
     return nested.select("kanji", "n_words", F.inline("vocabsPerKanji"))
 
 
