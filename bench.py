@@ -3,7 +3,6 @@
 import json
 import os
 import statistics
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -30,7 +29,6 @@ def main():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexforge.operators.materialize import work_path
+from lexforge.operators.materialize import materialize, work_path
 from lexforge.plans.frequencies import compile_frequencies
 from lexforge.queries.base import Query, table
 from lexforge.sources import readers, sinks
@@ -43,7 +43,8 @@ def parquet_roundtrip(spark, sf_dir):
 
 def _frequency_files(spark, sf_dir):
     """Quantities per order key by return flag, as headerless frequency files; keys that all three hold are ranked."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_partkey").agg(F.sum("l_quantity").cast("long").alias("n"))
+    lines = materialize(table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_partkey").agg(
+        F.sum("l_quantity").cast("long").alias("n")), "quantities")
     corpora = {}
     for prefix, flag in {"ao": "A", "no": "N", "re": "R"}.items():
         path = work_path(spark, "csv")

@@ -78,7 +78,7 @@ def _choices(spark, sf_dir):
 
 def alignment(spark, sf_dir):
     words = materialize(_spelled(spark, sf_dir), "spelled")
-    aligned = align_readings(words, _choices(spark, sf_dir), "term", "reading", symbol=CONSONANT)
+    aligned = align_readings(words, materialize(_choices(spark, sf_dir), "choices"), "term", "reading", symbol=CONSONANT)
     return aligned.select("term", F.array_join(
         F.transform("furigana", lambda f: F.concat_ws("=", f["kanji"], f["reading"])), "|").alias("furigana"))
 

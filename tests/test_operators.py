@@ -1,4 +1,5 @@
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import Window
@@ -162,7 +163,21 @@ def test_order_and_profile(spark):
     assert rows(profile(df)) == [("k", "string", 3, 0, 3), ("r", "int", 3, 1, 2)]
 
 
-def test_materialize_uses_the_named_folder(spark):
-    assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+def _session(master, **conf):
+    folder = []
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: folder[0] if folder else None,
+                              setCheckpointDir=folder.append)
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_work_folder_is_the_named_one():
+    assert work_dir(_session("yarn", **{"spark.checkpoint.dir": "hdfs:///work"})) == "hdfs:///work"
+    with pytest.raises(RuntimeError):
+        work_dir(_session("yarn"))
+    local = _session("local[2]")
+    assert work_dir(local) == work_dir(local) != ""
+
+
+def test_materialize(spark):
     table = materialize(spark.range(10).repartition(3))
     assert table.count() == 10 and "Scan parquet" in table._jdf.queryExecution().toString()
