@@ -60,7 +60,7 @@ def dictionary_readings(levels: DataFrame, kanjidic: DataFrame, kanji_alive: Dat
 
 def _kept(kind: str) -> Column:
     own = F.when(F.col("_kind") == kind, F.struct("_pos", F.struct("reading", "frequency").alias("_item")))
-    ordered = F.array_sort(F.collect_list(own))
+    ordered = F.array_sort(F.collect_set(own))
     return F.array_distinct(F.transform(ordered, lambda x: x["_item"]))
 
 
@@ -83,7 +83,7 @@ def combine_readings(dictionary: DataFrame, sums: DataFrame) -> DataFrame:
         (listed["readingsKanji"] == counted["_symbol"]) & (F.col("_listed.hiragana") == counted["_spoken"]),
         "inner",
     ).withColumn("reading", F.col("_listed"))
-    # a symbol has no more rows here than its dictionary lists have items
+    # a symbol has no more items here than its dictionary lists hold; copies of a symbol fall together
     nested = found.groupBy(F.col("readingsKanji").alias("_symbol")).agg(
         _kept("kun").alias("kunYomi"), _kept("on").alias("onYomi")
     )

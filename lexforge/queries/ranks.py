@@ -30,11 +30,10 @@ def corpus_ranks(spark, sf_dir):
 
 def symbol_ranks(spark, sf_dir):
     """The same for letters; they are counted from the term counts, not from the texts."""
-    return compile_stacked(_stacked(letter_counts(spark, sf_dir, corpus()), "letter", "n"), CORPORA, key="letter")
+    return compile_stacked(_stacked(letter_counts(term_counts(spark, sf_dir, corpus=corpus())), "letter", "n"), CORPORA, key="letter")
 
 
-def letter_counts(spark, sf_dir, by):
-    terms = term_counts(spark, sf_dir, corpus=by)
+def letter_counts(terms):
     letters = terms.select("corpus", "n", F.explode(characters(F.col("term"))).alias("letter"))
     return letters.groupBy("corpus", "letter").agg(F.sum("n").alias("n"))
 

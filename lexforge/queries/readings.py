@@ -10,12 +10,12 @@ from lexforge.plans.readings import combine_readings, dictionary_readings, infer
 from lexforge.queries.base import TERMS, Query, table, term_counts
 
 
-def _vocabulary(spark, sf_dir):
+def _vocabulary(counts):
     """Terms with the pairs (letter, next letter); the last letter is read as a dash."""
     chars = characters(F.col("term"))
     shifted = F.concat(F.slice("chars", F.lit(2), F.size("chars")), F.array(F.lit("-")))
     pairs = F.arrays_zip(F.col("chars").alias("kanji"), shifted.alias("reading"))
-    words = term_counts(spark, sf_dir).select("term", F.col("n").alias("totalOcurrences"), chars.alias("chars"))
+    words = counts.select("term", F.col("n").alias("totalOcurrences"), chars.alias("chars"))
     # written, as the run does: a filter that Spark infers for the explode would be computed per token
     return materialize(words.withColumn("furigana", pairs).drop("chars"), "words")
 
@@ -28,7 +28,7 @@ _SUMS = TERMS + """, spots AS (
 
 
 def inferred_readings(spark, sf_dir):
-    nested = infer_readings(materialize(reading_sums(_vocabulary(spark, sf_dir)), "sums"))
+    nested = infer_readings(materialize(reading_sums(_vocabulary(term_counts(spark, sf_dir))), "sums"))
     return nested.select("k", F.array_join(
         F.transform("readingsWFreq", lambda x: F.concat_ws(":", x["furigana"]["reading"], x["Occ"].cast("string"))), "|"
     ).alias("readings"))
@@ -71,7 +71,7 @@ def listed_readings(spark, sf_dir):
 
 
 def combined_readings(spark, sf_dir):
-    words = _vocabulary(spark, sf_dir)
+    words = _vocabulary(term_counts(spark, sf_dir))
     sums = materialize(reading_sums(words), "sums")
     listed = materialize(dictionary_readings(*_dictionaries(spark, sf_dir, words)), "listed")
     combined = combine_readings(listed, sums)

@@ -103,16 +103,14 @@ FROM spelled AS s LEFT JOIN furigana AS f ON f.word = s.word"""
 CORPORA = {"de": "ao", "en": "tw", "es": "wk", "fr": "news"}
 
 
-def _letter_frequencies(spark, sf_dir):
-    """Languages as corpora."""
-    names = F.create_map(*[F.lit(x) for pair in CORPORA.items() for x in pair])
-    return compile_stacked(_stacked(letter_counts(spark, sf_dir, names[F.col("lang")]), "letter", "n"), list(CORPORA.values()))
-
-
 def symbol_table(spark, sf_dir):
     """Letters as symbols: dictionary fields and meanings from the parts that hold them, readings from the terms."""
     parts = table(spark, sf_dir, "part")
-    words = _vocabulary(spark, sf_dir)
+    # languages are the corpora
+    names = F.create_map(*[F.lit(x) for pair in CORPORA.items() for x in pair])
+    counts = materialize(term_counts(spark, sf_dir, corpus=names[F.col("lang")]), "counts")
+    frequencies = compile_stacked(_stacked(letter_counts(counts), "letter", "n"), list(CORPORA.values()))
+    words = _vocabulary(counts.groupBy("term").agg(F.sum("n").alias("n")))
     hub, entries, alive, tanos = _dictionaries(spark, sf_dir, words)
     hub = materialize(hub.withColumn("level", F.ascii("kanji").cast("long")), "hub")
     holding = parts.select("*", F.explode(F.array_distinct(characters(F.col("p_name")))).alias("k"))
@@ -134,7 +132,7 @@ def symbol_table(spark, sf_dir):
     sums = materialize(reading_sums(words), "sums")
     listed = materialize(dictionary_readings(hub, kanjidic, kanji_alive, tanos), "listed")
     master = symbol_master(
-        hub, kanjidic, kanji_alive, readers.decompositions(lines, "line", symbol=r"\p{L}"), _letter_frequencies(spark, sf_dir),
+        hub, kanjidic, kanji_alive, readers.decompositions(lines, "line", symbol=r"\p{L}"), frequencies,
         combine_meanings(kanjidic, kanji_alive, tanos), sums, combine_readings(listed, sums))
     return master.select(
         "kanji", "level", "grade", "stroke_count", F.col("variant.value").alias("variant"), "kname", F.col("components.phonetics").alias("part"),

@@ -83,6 +83,13 @@ def test_readings(tables):
     assert rows["凸"]["kunYomi"] == [] and rows["凸"]["onYomi"] == []
 
 
+def test_copies_of_a_symbol_share_their_lists(spark, tables):
+    listed = tables["dictionary_readings"].filter("readingsKanji = '愛'")
+    sums = spark.createDataFrame([("愛", "あい", 5), ("愛", "いと", 3)], "k string, reading string, Occ long")
+    got = readings.combine_readings(listed.union(listed), sums).collect()
+    assert len(got) == 2 and got[0] == got[1] and len(got[0]["onYomi"]) == 1
+
+
 def test_third_source_of_readings(spark, tables):
     got = by(readings.dictionary_readings(
         tables["levels"], tables["kanjidic"], tables["kanji_alive"], tables["tanos"], use_tanos=True), "readingsKanji")
