@@ -27,7 +27,7 @@ def entry_batches(df: DataFrame, table: str, n: int, entry: str = "entry",
     block = [F.col("block")] if "block" in numbered.columns else [F.lit(0).cast("bigint").alias("block")]
     batched = numbered.groupBy(*block, F.expr(f"(position - 1) div {int(n)}").alias("batch")).agg(
         F.count("*").alias("n_entries"),
-        F.array_sort(F.collect_list(F.struct("position", F.col(entry).alias("line")))).alias("_lines"),
+        F.sort_array(F.collect_list(F.struct("position", F.col(entry).alias("line")))).alias("_lines"),
     )
     lines = F.array_join(F.transform("_lines", lambda x: x["line"]), " ")
     # The request envelope.

@@ -35,7 +35,7 @@ def nest(df: DataFrame, key: str, item: Column, out: str, order: Sequence[Column
         place = F.pmod(spread(df, 1 << 20), F.col("_parts"))
         parted = known.withColumn(part, F.when(F.col("_parts").isNotNull(), place).otherwise(0))
     sorting = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], item.alias("_item"))
-    nested = parted.groupBy(key, part).agg(F.array_sort(F.collect_list(sorting)).alias(out))
+    nested = parted.groupBy(key, part).agg(F.sort_array(F.collect_list(sorting)).alias(out))
     return nested.withColumn(out, F.transform(out, lambda x: x["_item"]))
 
 

@@ -34,7 +34,7 @@ def _split_reading(choices: Column, reading: Column) -> Column:
                 ),
             )
 
-        grown = F.array(F.array_sort(F.flatten(F.transform(states, grow))))
+        grown = F.array(F.sort_array(F.flatten(F.transform(states, grow))))
         # the list stands in an array of one, so that it is computed once and named in the lambda
         return F.transform(
             grown,
@@ -74,10 +74,9 @@ def align_readings(words: DataFrame, candidates: DataFrame, word: str, reading:
         F.map_from_entries(F.collect_set(F.struct("symbol", F.coalesce("readings", no_strings())))).alias("_known")
     )
     # the map holds every symbol of the word, so a character that is not in it stands for itself
-    chars = characters(F.col(word))
     choices = F.transform(
-        chars, lambda c: F.coalesce(F.try_element_at(F.col("_known"), c), F.array(to_hiragana(c))))
-    split = known.withColumn("_chars", chars).withColumn("_path", _split_reading(choices, F.col(reading)))
+        "_chars", lambda c: F.coalesce(F.try_element_at(F.col("_known"), c), F.array(to_hiragana(c))))
+    split = known.withColumn("_chars", characters(F.col(word))).withColumn("_path", _split_reading(choices, F.col(reading)))
     size = F.size("_chars")
     first = F.array_position(F.transform("_chars", lambda c: F.map_contains_key("_known", c)), F.lit(True)).cast("int")
     blank = F.lit("")

@@ -54,8 +54,7 @@ def symbols_per_word(vocabulary: DataFrame, symbols: DataFrame, word: str = "wor
     # a word has as many rows here as it has distinct symbols
     present = F.when(F.col("_row").isNotNull(), F.struct("_pos", "_row"))
     nested = found.groupBy("wordK").agg(F.collect_list(present).alias("_rows"))
-    ordered = F.array_sort("_rows", lambda a, b: F.coalesce(a["_pos"] - b["_pos"], F.lit(0)))
-    return nested.select("wordK", F.transform(ordered, lambda x: x["_row"]).alias("kanjisInVocab"))
+    return nested.select("wordK", F.transform(F.sort_array("_rows"), lambda x: x["_row"]).alias("kanjisInVocab"))
 
 
 def words_with_symbols(vocabulary: DataFrame, per_word: DataFrame, word: str = "word",

@@ -60,7 +60,7 @@ def dictionary_readings(levels: DataFrame, kanjidic: DataFrame, kanji_alive: Dat
 
 def _kept(kind: str) -> Column:
     own = F.when(F.col("_kind") == kind, F.struct("_pos", F.struct("reading", "frequency").alias("_item")))
-    ordered = F.array_sort(F.collect_set(own))
+    ordered = F.sort_array(F.collect_set(own))
     return F.array_distinct(F.transform(ordered, lambda x: x["_item"]))
 
 

@@ -44,7 +44,7 @@ def _bigrams(df, text):
 
 def _listed(df, text, out):
     """One sorted list of next letters per letter, in one text."""
-    return _bigrams(df, text).groupBy("k").agg(F.array_join(F.array_sort(F.collect_set("r")), "、").alias(out))
+    return _bigrams(df, text).groupBy("k").agg(F.array_join(F.sort_array(F.collect_set("r")), "、").alias(out))
 
 
 def _dictionaries(spark, sf_dir, words):
@@ -53,7 +53,7 @@ def _dictionaries(spark, sf_dir, words):
     letters = words.select(F.explode(characters(F.col("term"))).alias("kanji")).distinct()
     kinds = _bigrams(parts, F.col("p_name")).withColumn("type", F.lit("ja_kun")).unionByName(
         _bigrams(parts, F.lower("p_type")).withColumn("type", F.lit("ja_on")))
-    entries = kinds.groupBy(F.col("k").alias("literal")).agg(F.array_sort(F.collect_list(
+    entries = kinds.groupBy(F.col("k").alias("literal")).agg(F.sort_array(F.collect_list(
         F.struct("type", F.concat("r", F.lit("."), "k").alias("value")))).alias("kdReadings"))
     kun = _listed(customers, F.lower("c_name"), "kaKunYomi_ja")
     on = _listed(customers, F.lower("c_mktsegment"), "kaOnYomi_ja")

@@ -73,7 +73,7 @@ def _choices(spark, sf_dir):
     pairs = texts.select(F.explode(F.regexp_extract_all("t", F.lit(f"({CONSONANT}[aeiou])"), 1)).alias("p"))
     both = F.array(F.substring("p", 1, 1), F.col("p"))
     listed = pairs.select(F.substring("p", 1, 1).alias("symbol"), F.explode(both).alias("r"))
-    return listed.groupBy("symbol").agg(F.array_sort(F.collect_set("r")).alias("readings"))
+    return listed.groupBy("symbol").agg(F.sort_array(F.collect_set("r")).alias("readings"))
 
 
 def alignment(spark, sf_dir):

@@ -117,7 +117,7 @@ def symbol_table(spark, sf_dir):
     facts = holding.groupBy("k").agg(
         F.min("p_type").alias("grade"), F.max("p_size").cast("string").alias("stroke_count"),
         F.struct(F.min("p_brand").alias("type"), F.max("p_brand").alias("value")).alias("variant"),
-        F.array_sort(F.collect_set(F.struct(F.lit("en").alias("m_lang"), F.lower("p_type").alias("meaning")))).alias("kdMeanings"))
+        F.sort_array(F.collect_set(F.struct(F.lit("en").alias("m_lang"), F.lower("p_type").alias("meaning")))).alias("kdMeanings"))
     kanjidic = materialize(entries.join(facts, entries["literal"] == facts["k"], "left").drop("k"), "kanjidic")
     extra = ["examples", "rad_meaning", "rad_name", "rad_name_ja", "rad_order", "rad_position", "rad_position_ja",
              "rad_stroke", "radical"]
