@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lexforge.llm import bpe, packing, secrets
+from lexforge.llm import bpe, packing, secrets, warc
 from lexforge.queries.base import Query, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,20 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(docs, WORD_TOKENIZER))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive(table(spark, sf_dir, "pages"), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+m AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS DISTINCT FROM page_id AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM m"""
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.secret_digests(secrets.find_secrets(docs))
@@ -30,6 +44,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM = {
     "op3_packing": Query(op3_packing, None),
+    "op5_warc": Query(op5_warc, OP5_SQL),
     "op8_secrets": Query(op8_secrets, None),
     "op10_bpe": Query(op10_bpe, None),
 }
