@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexforge.llm import bpe, packing, secrets, warc
+from lexforge.llm import bpe, packing, secrets, topk, warc
 from lexforge.queries.base import Query, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -36,6 +37,18 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(secrets.find_secrets(docs))
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP9_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+    FROM v AS q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 5"""
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     encoded = bpe.encode(docs, BYTE_RANKS, public_tokenizers.PATTERN).drop("text")
@@ -46,5 +59,6 @@ LLM = {
     "op3_packing": Query(op3_packing, None),
     "op5_warc": Query(op5_warc, OP5_SQL),
     "op8_secrets": Query(op8_secrets, None),
+    "op9_top_k": Query(op9_top_k, OP9_SQL),
     "op10_bpe": Query(op10_bpe, None),
 }
