@@ -169,9 +169,11 @@ def row_numbers(rows: np.ndarray) -> np.ndarray:
 
 def distinct_sorted(hashes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of every text in ascending order, with new row offsets."""
-    owner = row_numbers(rows)
-    order = np.lexsort((hashes, owner))
-    h, o = hashes[order], owner[order]
+    h = hashes.copy()
+    edges = rows.tolist()
+    for a, b in zip(edges, edges[1:]):
+        h[a:b].sort()
     new = np.ones(len(h), dtype=bool)
-    new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
-    return h[new], np.concatenate([[0], np.cumsum(np.bincount(o[new], minlength=len(rows) - 1))])
+    new[1:] = h[1:] != h[:-1]
+    new[rows[:-1][np.diff(rows) > 0]] = True
+    return h[new], np.concatenate([[0], np.cumsum(new)])[rows]

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import bpe, packing, secrets, topk, warc
+from lexforge.llm import bpe, ngram_join, packing, secrets, topk, warc
 from lexforge.queries.base import Query, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(docs, WORD_TOKENIZER))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.archive(table(spark, sf_dir, "pages"), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -57,6 +61,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM = {
     "op3_packing": Query(op3_packing, None),
+    "op4_ngram_join": Query(op4_ngram_join, None),
     "op5_warc": Query(op5_warc, OP5_SQL),
     "op8_secrets": Query(op8_secrets, None),
     "op9_top_k": Query(op9_top_k, OP9_SQL),
