@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import bpe, ngram_join, packing, secrets, topk, warc
+from lexforge.llm import bpe, fingerprints, ngram_join, packing, secrets, topk, warc
 from lexforge.queries.base import Query, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -36,6 +36,10 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS DISTINCT FROM
 FROM m"""
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.secret_digests(secrets.find_secrets(docs))
@@ -63,6 +67,7 @@ LLM = {
     "op3_packing": Query(op3_packing, None),
     "op4_ngram_join": Query(op4_ngram_join, None),
     "op5_warc": Query(op5_warc, OP5_SQL),
+    "op6_fingerprints": Query(op6_fingerprints, None),
     "op8_secrets": Query(op8_secrets, None),
     "op9_top_k": Query(op9_top_k, OP9_SQL),
     "op10_bpe": Query(op10_bpe, None),
