@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import bpe, fingerprints, ngram_join, packing, secrets, topk, warc
+from lexforge.llm import bpe, fingerprints, ngram_join, packing, quality, secrets, topk, warc
 from lexforge.queries.base import Query, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.piece_digests(packing.pack(docs, WORD_TOKENIZER))
@@ -64,6 +68,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM = {
+    "op1_quality": Query(op1_quality, None),
     "op3_packing": Query(op3_packing, None),
     "op4_ngram_join": Query(op4_ngram_join, None),
     "op5_warc": Query(op5_warc, OP5_SQL),
