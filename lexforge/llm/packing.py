@@ -28,7 +28,7 @@ from lexforge.operators.materialize import materialize
 
 SEQUENCE = 4096
 END = 2
-SLICE = 8 << 20
+SLICE = 4 << 20
 PIECE_FIELDS = ["start long", "length long", "doc_tokens long", "sequence_id long", "offset long", "ids binary"]
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import bpe, fingerprints, ngram_join, packing, quality, secrets, topk, warc
+from lexforge.llm import bpe, chat, fingerprints, ngram_join, packing, quality, secrets, topk, warc
 from lexforge.queries.base import Query, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,28 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rendered = chat.rotate(table(spark, sf_dir, "conversations"))
+    spans = F.array_join(F.transform("masks", lambda m: F.concat_ws("-", m["start"].cast("string"), m["end"].cast("string"))), ",")
+    return rendered.withColumn("masks", spans)
+
+
+OP2_SQL = """
+WITH people AS (SELECT DISTINCT conv_id, role AS perspective FROM conversations WHERE role IS NOT NULL AND role <> 'system'),
+faced AS (SELECT c.conv_id, perspective, turn, role, text, role IS NOT DISTINCT FROM perspective AS mine,
+    '<|im_start|>' || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant' WHEN role IS NULL THEN 'user'
+        ELSE 'user name=' || translate(replace(role, '<|im_', '< |im_'), chr(13) || chr(10), '  ') END || chr(10) AS head
+    FROM conversations c JOIN people p ON c.conv_id IS NOT DISTINCT FROM p.conv_id),
+said AS (SELECT *, head || replace(coalesce(text, ''), '<|im_', '< |im_') || '<|im_end|>' || chr(10) AS line FROM faced),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS i FROM said),
+placed AS (SELECT *, coalesce(sum(length(line)) OVER (PARTITION BY conv_id, perspective ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM numbered),
+parted AS (SELECT *, CAST(before // 32768 AS BIGINT) AS part, CAST(min(before) OVER (PARTITION BY conv_id, perspective, before // 32768) AS BIGINT) AS start FROM placed)
+SELECT conv_id, perspective, part, start, CAST(count(*) AS INT) AS n_turns, string_agg(line, '' ORDER BY i) AS text,
+    coalesce(string_agg(CAST(CAST(before - start + length(head) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(before - start + length(line) - 1 AS BIGINT) AS VARCHAR), ',' ORDER BY i)
+        FILTER (WHERE mine), '') AS masks
+FROM parted GROUP BY conv_id, perspective, part, start"""
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.piece_digests(packing.pack(docs, WORD_TOKENIZER))
@@ -69,6 +91,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM = {
     "op1_quality": Query(op1_quality, None),
+    "op2_chat": Query(op2_chat, OP2_SQL),
     "op3_packing": Query(op3_packing, None),
     "op4_ngram_join": Query(op4_ngram_join, None),
     "op5_warc": Query(op5_warc, OP5_SQL),

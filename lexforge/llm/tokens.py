@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from array import array
 from functools import lru_cache
 from itertools import chain
 
@@ -19,7 +20,7 @@ from lexforge.llm.bpe import gather
 
 #: ASCII signs that the tokenizer splits from letters before them; the apostrophe is not one of them
 _SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 700_000
 
 
 def _byte_letters() -> list[str]:
@@ -54,6 +55,20 @@ def load_tokenizer(path: str):
     return found
 
 
+class _Known(dict):
+    """{piece: its place}; a piece that is looked up for the first time is encoded then."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode, self.ids, self.ends = encode, array("i"), array("q", [0])
+
+    def __missing__(self, piece: str) -> int:
+        self.ids.extend(self.encode(piece))
+        self[piece] = place = len(self.ends) - 1
+        self.ends.append(len(self.ids))
+        return place
+
+
 class PieceEncoder:
     """Encodes texts of one task by the tokenizer of a file that lower-cases and drops white space."""
 
@@ -63,10 +78,9 @@ class PieceEncoder:
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Known(self._encode_piece)
         self.parts: dict[str, tuple[int, ...]] = {}
         self.signs: dict[str, tuple[int, ...]] = {}
-        self.ids, self.offsets = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _encode_piece(self, piece: str) -> tuple[int, ...]:
         letters = piece.rstrip(_SIGNS)
@@ -90,13 +104,6 @@ class PieceEncoder:
         if len(self.known) > KEPT_PIECES:
             self.reset()
         parts = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        new = [p for p in set().union(*parts) if p not in self.known]
-        if new:
-            found = [self._encode_piece(p) for p in new]
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            self.offsets = np.concatenate([self.offsets, np.cumsum(sizes) + len(self.ids)])
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))])
         counts = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        places = np.array(list(map(self.known.__getitem__, chain.from_iterable(parts))), dtype=np.int64)
-        return gather(self.ids, self.offsets, places, counts)
+        places = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=int(counts.sum()))
+        return gather(np.array(self.known.ids, np.int32), np.array(self.known.ends, np.int64), places, counts)
