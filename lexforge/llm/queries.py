@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import bpe, chat, fingerprints, ngram_join, packing, quality, secrets, topk, warc
+from lexforge.llm import bpe, chat, fingerprints, ngram_join, packing, passages, quality, secrets, topk, warc
 from lexforge.queries.base import Query, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -66,6 +66,10 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(table(spark, sf_dir, "documents"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.secret_digests(secrets.find_secrets(docs))
@@ -96,6 +100,7 @@ LLM = {
     "op4_ngram_join": Query(op4_ngram_join, None),
     "op5_warc": Query(op5_warc, OP5_SQL),
     "op6_fingerprints": Query(op6_fingerprints, None),
+    "op7_passages": Query(op7_passages, None),
     "op8_secrets": Query(op8_secrets, None),
     "op9_top_k": Query(op9_top_k, OP9_SQL),
     "op10_bpe": Query(op10_bpe, None),
