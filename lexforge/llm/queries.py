@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,4 +105,5 @@ LLM = {
     "op8_secrets": Query(op8_secrets, None),
     "op9_top_k": Query(op9_top_k, OP9_SQL),
     "op10_bpe": Query(op10_bpe, None),
+    "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
