@@ -50,6 +50,8 @@ class Merges:
                     pairs[left * self.width + right] = rank
         keys = np.array(sorted(pairs), dtype=np.int64)
         self.keys, self.ranks = keys, np.array([pairs[k] for k in keys.tolist()], dtype=np.int64)
+        # then a merge never gives a pair of its own or a lower rank, and all positions of a rank merge at once
+        self.ordered = bool((self.ranks > np.maximum(keys // self.width, keys % self.width)).all())
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         self.whole = ranks
         lengths = np.array([len(t) for t in self.tokens], dtype=np.int64)
@@ -114,6 +116,12 @@ def replay(merges: Merges, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if not len(at):
             continue
         at = np.sort(at)
+        if not merges.ordered:
+            # the leftmost of each word; it may give a lower rank, which goes before the others
+            word = np.searchsorted(starts, at, side="right")
+            leftmost = np.concatenate([[True], word[1:] != word[:-1]])
+            at, later = at[leftmost], at[~leftmost]
+            note(later)
         # of pairs that share a token the leftmost merges: every other one of a run
         tied = np.concatenate([[False], after[at[:-1]] == at[1:]])
         if tied.any():
