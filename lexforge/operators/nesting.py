@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.functions.symbols import KANJI, distinct_symbols, has_symbol
-from lexforge.operators.joins import lookup_join, spread
+from lexforge.operators.joins import lookup_join
 from lexforge.operators.materialize import materialize
+from lexforge.operators.ranking import number_rows
 
 PART_ROWS = 50_000
 
@@ -19,23 +20,24 @@ def nest(df: DataFrame, key: str, item: Column, out: str, order: Sequence[Column
     """Collect the items of each key into ``out``, sorted by ``order`` and then by the item.
 
     A key with more than ``part_rows`` rows continues on further rows, numbered by ``part`` from 0,
-    so that no task has to hold the whole list of a hot key. All items are kept.
+    so that no task has to hold the whole list of a hot key. All items are kept: the parts of a key, one
+    after the other, are its whole list in the declared order, and all but the last hold ``part_rows`` items.
     """
     part_rows = part_rows or PART_ROWS
-    # keys go by their hash, which is never null; two keys that share one may only be split once more
-    hashed = F.xxhash64(key).alias("_hash")
-    counts = df.groupBy(hashed).agg(F.count("*").alias("_n")).filter(F.col("_n") > part_rows)
-    hot = materialize(
-        counts.select("_hash", F.ceil(F.col("_n") / F.lit(part_rows)).cast("int").alias("_parts")), "hot"
-    )
+    sorting = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], item.alias("_item")).alias("_s")
+    # keys go by their hash, which is never null; two keys that share one are numbered each on its own
+    rows = df.select(key, F.xxhash64(key).alias("_hash"), sorting)
+    counts = rows.groupBy("_hash").agg(F.count("*").alias("_n")).filter(F.col("_n") > part_rows)
+    hot = materialize(counts.select("_hash", F.lit(True).alias("_long")), "hot")
     if hot.isEmpty():
-        parted = df.withColumn(part, F.lit(0))
+        parted = rows.withColumn(part, F.lit(0))
     else:
-        known = lookup_join(df.select("*", hashed), hot, ["_hash"])
-        place = F.pmod(spread(df, 1 << 20), F.col("_parts"))
-        parted = known.withColumn(part, F.when(F.col("_parts").isNotNull(), place).otherwise(0))
-    sorting = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], item.alias("_item"))
-    nested = parted.groupBy(key, part).agg(F.sort_array(F.collect_list(sorting)).alias(out))
+        known = lookup_join(rows, hot, ["_hash"])
+        # the rows of a long list are numbered in its order, over ranges, and cut at equal places
+        numbered = number_rows(known.filter("_long").select(key, "_s"), [F.col("_s").asc()], [key])
+        cut = numbered.select(key, "_s", F.expr(f"int((position - 1) div {int(part_rows)})").alias(part))
+        parted = known.filter("_long is null").select(key, "_s", F.lit(0).alias(part)).unionByName(cut)
+    nested = parted.groupBy(key, part).agg(F.sort_array(F.collect_list("_s")).alias(out))
     return nested.withColumn(out, F.transform(out, lambda x: x["_item"]))
 
 

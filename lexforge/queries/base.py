@@ -12,6 +12,10 @@ from lexforge.functions.symbols import terms
 from lexforge.operators.layout import widen
 
 
+# a list that holds more items continues on further rows; the queries name the bound, so that their SQL can
+PART_ROWS = 50_000
+
+
 class Query(NamedTuple):
     run: Callable[[SparkSession, str], DataFrame]
     sql: str | None

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexforge.functions.symbols import characters
 from lexforge.operators.joins import Dimension, lookup_join, star_join
 from lexforge.operators.materialize import materialize
-from lexforge.operators.profile import profile
+from lexforge.operators.profile import distinct_counts, profile
 from lexforge.operators.ranking import dense_ranks
 from lexforge.plans.crossing import symbols_per_word, symbols_with_words, words_per_symbol, words_with_symbols
 from lexforge.queries.base import LETTERS, Query, table, term_counts
@@ -64,22 +64,18 @@ def symbol_words(spark, sf_dir):
 
 
 def symbol_words_in_parts(spark, sf_dir):
-    """The same in parts of about 2,000 words, as sums per letter over all its parts."""
-    nested = words_per_symbol(_vocabulary(spark, sf_dir), columns=["word", "totalOcurrences"], symbol=LETTER, part_rows=2_000)
-    words = F.transform("vocabsPerKanji", lambda w: w["word"])
-    per_part = nested.select(
-        "vocabK", F.size("vocabsPerKanji").alias("size"), F.array_min(words).alias("low"), F.array_max(words).alias("high"),
-        F.aggregate("vocabsPerKanji", F.lit(0).cast("long"), lambda s, w: s + w["totalOcurrences"]).alias("n"))
-    return per_part.groupBy("vocabK").agg(
-        F.sum("size").alias("n_words"), F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"),
-        (F.count("*") > 1).alias("in_parts"))
+    """The same in parts of 500 words: every word with the part of its letter's list and its place there."""
+    nested = words_per_symbol(_vocabulary(spark, sf_dir), columns=["word", "totalOcurrences"], symbol=LETTER, part_rows=500)
+    return nested.select("vocabK", "part", F.posexplode("vocabsPerKanji").alias("pos", "w")).select(
+        "vocabK", "part", "pos", F.col("w.word").alias("word"), F.col("w.totalOcurrences").alias("n"))
 
 
 def word_symbols(spark, sf_dir):
-    """Terms with the rows of their letters, in the order of the word."""
+    """Terms with the rows of their letters, in the order of the word; the letters of part names are the dimension."""
     vocabulary = _vocabulary(spark, sf_dir)
-    letters = materialize(_letters(vocabulary).filter("n_words > 20"), "letters")
-    per_word = symbols_per_word(vocabulary, letters, symbol="[a-y]")
+    held = table(spark, sf_dir, "part").select(F.explode(characters(F.col("p_name"))).alias("kanji")).distinct()
+    letters = materialize(_letters(vocabulary).join(held, "kanji", "left_semi"), "letters")
+    per_word = symbols_per_word(vocabulary, letters, symbol=LETTER)
     joined = words_with_symbols(vocabulary, per_word)
     return joined.select("word", "rank", F.array_join(
         F.transform("kanjisInVocab", lambda k: F.concat_ws(":", k["kanji"], k["n"].cast("string"))), "|").alias("letters"))
@@ -92,8 +88,13 @@ def order_profile(spark, sf_dir):
 
 
 def distinct_profile(spark, sf_dir):
-    """The full profile with approximate distinct counts; these are estimates of Spark's own."""
-    return profile(table(spark, sf_dir, "events"))
+    """Rows, nulls and exact distinct values per column of the events; the estimates of the one-pass profile lie near them."""
+    events = table(spark, sf_dir, "events")
+    near = profile(events).select("column_name", "n_rows", "n_nulls", F.col("n_distinct").alias("_estimate"))
+    exact = distinct_counts(events)
+    return near.join(exact, "column_name").select(
+        "column_name", "n_rows", "n_nulls", "n_distinct",
+        (F.abs(F.col("_estimate") - F.col("n_distinct")) <= F.greatest(F.lit(2.0), F.col("n_distinct") * 0.2)).alias("estimate_near"))
 
 
 _ENRICHED = """enriched AS (SELECT o_orderkey, o_custkey * 2 AS c_custkey, c_name, c_nationkey AS n_nationkey, n_name
@@ -115,16 +116,19 @@ QUERIES = {
     "symbol_words": Query(symbol_words, f"""WITH {_SYMBOL_SQL}
         SELECT l.letter AS kanji, n_words, l.term AS word, l.n AS "totalOcurrences", rank
         FROM letters AS l JOIN ranked AS r ON r.term = l.term JOIN stats AS s ON s.letter = l.letter"""),
-    "symbol_words_in_parts": Query(symbol_words_in_parts, f"""WITH {LETTERS}
-        SELECT letter AS "vocabK", count(*)::BIGINT AS n_words, sum(n)::BIGINT AS n, min(term) AS low, max(term) AS high,
-            count(*) > 2000 AS in_parts FROM letters GROUP BY letter"""),
-    "word_symbols": Query(word_symbols, f"""WITH {_SYMBOL_SQL}
+    "symbol_words_in_parts": Query(symbol_words_in_parts, f"""WITH {_SYMBOL_SQL}, placed AS (
+            SELECT letter, l.term, l.n, row_number() OVER (PARTITION BY letter ORDER BY rank, l.term) - 1 AS spot
+            FROM letters AS l JOIN ranked AS r ON r.term = l.term)
+        SELECT letter AS "vocabK", (spot // 500)::INTEGER AS part, (spot % 500)::INTEGER AS pos, term AS word, n FROM placed"""),
+    "word_symbols": Query(word_symbols, f"""WITH {_SYMBOL_SQL}, held AS (SELECT DISTINCT unnest(string_split(p_name, '')) AS letter FROM part)
         SELECT r.term AS word, rank, coalesce(string_agg(l.letter || ':' || s.n, '|' ORDER BY l.pos)
-            FILTER (WHERE s.n IS NOT NULL), '') AS letters
-        FROM ranked AS r JOIN letters AS l ON l.term = r.term AND l.letter BETWEEN 'a' AND 'y'
-        LEFT JOIN stats AS s ON s.letter = l.letter AND s.n_words > 20 GROUP BY r.term, rank"""),
+            FILTER (WHERE h.letter IS NOT NULL), '') AS letters
+        FROM ranked AS r JOIN letters AS l ON l.term = r.term JOIN stats AS s ON s.letter = l.letter
+        LEFT JOIN held AS h ON h.letter = l.letter GROUP BY r.term, rank"""),
     "order_profile": Query(order_profile, f"WITH {_ENRICHED} " + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls FROM enriched"
         for c in ("o_orderkey", "c_custkey", "c_name", "n_nationkey", "n_name"))),
-    "distinct_profile": Query(distinct_profile, None),
+    "distinct_profile": Query(distinct_profile, " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, count(DISTINCT {c}) AS n_distinct, true AS estimate_near FROM events"
+        for c in ("event_id", "ts", "user_id", "event_type", "value", "props"))),
 }

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexforge.functions.lists import bracket_pairs, example_pairs, gloss_list
+from lexforge.functions.symbols import characters
 from lexforge.operators.materialize import work_path
 from lexforge.plans.meanings import combine_meanings
 from lexforge.plans.vocabulary import compile_dictionary
-from lexforge.queries.base import Query, table
+from lexforge.queries.base import PART_ROWS, Query, table
 from lexforge.sources import readers, sinks
 
 
@@ -56,9 +57,10 @@ def dictionary_merged(spark, sf_dir):
 
 
 def record_parse(spark, sf_dir):
-    """Decomposition lines; those that do not start with one letter and a colon are skipped."""
-    lines = table(spark, sf_dir, "part").select(F.concat(
-        F.when(F.col("p_size") > 40, F.lit("12")).otherwise(F.substring("p_name", 1, 1)), F.lit(":"), F.col("p_type"),
+    """Decomposition lines, one for each distinct letter of a part's name; those that do not start with one letter and a colon are skipped."""
+    letters = table(spark, sf_dir, "part").withColumn("c", F.explode(F.array_distinct(characters(F.col("p_name")))))
+    lines = letters.select(F.concat(
+        F.when(F.col("p_size") > 40, F.lit("12")).otherwise(F.col("c")), F.lit(":"), F.col("p_type"),
         F.lit("("), F.col("p_brand"), F.lit(","), F.col("p_size").cast("string"), F.lit(")")).alias("line"))
     parsed = readers.decompositions(_through_text(spark, lines, "line"), symbol=r"\p{L}")
     return parsed.select("cKanji", "components.kanji", "components.role", "components.phonetics", "components.meaning")
@@ -133,10 +135,11 @@ QUERIES = {
     "dictionary_merged": Query(dictionary_merged, f"""WITH {_PARSED}, items AS (
             SELECT word, p_partkey, unnest(glosses) AS gloss, generate_subscripts(glosses, 1) AS i FROM parsed
         ), firsts AS (SELECT word, gloss, min(struct_pack(p := p_partkey, i := i)) AS f FROM items GROUP BY word, gloss)
-        SELECT word, r AS reading, 0 AS part, (row_number() OVER (PARTITION BY word ORDER BY f.p, f.i) - 1)::INTEGER AS pos, gloss
-        FROM firsts JOIN (SELECT word, arg_min(reading, p_partkey) AS r FROM parsed GROUP BY word) USING (word)"""),
-    "record_parse": Query(record_parse, r"""WITH lines AS (SELECT CASE WHEN p_size > 40 THEN '12' ELSE substr(p_name, 1, 1) END
-            || ':' || p_type || '(' || p_brand || ',' || p_size || ')' AS line FROM part)
+        SELECT word, r AS reading, (spot // {PART_ROWS})::INTEGER AS part, (spot % {PART_ROWS})::INTEGER AS pos, gloss
+        FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY f.p, f.i) - 1 AS spot FROM firsts) JOIN (SELECT word, arg_min(reading, p_partkey) AS r FROM parsed GROUP BY word) USING (word)"""),
+    "record_parse": Query(record_parse, r"""WITH letters AS (SELECT DISTINCT p_partkey, p_type, p_brand, p_size, unnest(string_split(p_name, '')) AS c FROM part),
+        lines AS (SELECT CASE WHEN p_size > 40 THEN '12' ELSE c END
+            || ':' || p_type || '(' || p_brand || ',' || p_size || ')' AS line FROM letters)
         SELECT substr(line, 1, 1) AS "cKanji", substr(line, 1, 1) AS kanji, regexp_extract(line, ':(.*)\(', 1) AS role,
             split_part(regexp_extract(line, '\(([^)]*)\)', 1), ',', 1) AS phonetics,
             split_part(regexp_extract(line, '\(([^)]*)\)', 1), ',', 2) AS meaning

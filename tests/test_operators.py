@@ -71,6 +71,30 @@ def test_number_rows_with_copies(spark):
     assert rows(grouped) == rows(want)
 
 
+def test_parts_in_order_are_the_whole_list(spark):
+    """Cutting a list changes none of it: the parts of a key, one after the other, are its list in the declared order."""
+    df = spark.range(2000).select((F.col("id") % 3 == 0).alias("key"), (F.hash("id") % 500).alias("rank"), F.col("id").cast("string").alias("word")).repartition(6)
+    df = df.unionByName(df.filter("rank < 0").limit(50))
+    whole, cut = (nesting.nest(df, "key", F.struct("rank", "word"), "items", [F.col("rank")], n).collect() for n in (10_000, 70))
+    joined = {}
+    for r in sorted(cut, key=lambda r: (r.key, r.part)):
+        assert len(r["items"]) == 70 or r.part == max(x.part for x in cut if x.key == r.key)
+        joined.setdefault(r.key, []).extend(r["items"])
+    assert joined == {r.key: r["items"] for r in whole}
+
+
+def test_merged_parts_keep_first_occurrence(spark):
+    rows = [(k % 2, i, [f"g{(i * 7 + j) % 900}" for j in range(3)]) for i in range(600) for k in (i,)]
+    df = spark.createDataFrame(rows, "key long, place long, glosses array<string>").repartition(4)
+    whole, cut = (nesting.merged_lists(df, "key", "glosses", F.col("place"), n).collect() for n in (10_000, 60))
+    joined = {}
+    for r in sorted(cut, key=lambda r: (r.key, r.part)):
+        joined.setdefault(r.key, []).extend(r.glosses)
+    assert joined == {r.key: r.glosses for r in whole}
+    want = list(dict.fromkeys(g for k, _, gs in sorted(rows, key=lambda r: r[1]) if k == 0 for g in gs))
+    assert joined[0] == want
+
+
 @pytest.mark.parametrize("part_rows", [50_000, 100])
 def test_nest_keeps_all_items(spark, part_rows):
     df = skewed(spark).withColumn("key", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("w").cast("string")))
