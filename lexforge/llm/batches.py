@@ -10,6 +10,9 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+
+from lexforge.operators.materialize import materialize
 
 SLICE_BYTES = 1 << 20
 SHINGLE = 5
@@ -74,6 +77,20 @@ def no_collection() -> Iterator[None]:
             gc.enable()
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, rows: int = 1_000) -> DataFrame:
+    """Write a table with Python stages in it, handing them ``rows`` rows at a time: a batch of long texts stays small."""
+    conf = df.sparkSession.conf
+    before = conf.get(BATCH_SETTING)
+    conf.set(BATCH_SETTING, str(rows))
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(BATCH_SETTING, before)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a slice hold ``limit`` bytes at most, or the slice is one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -8,7 +8,8 @@ A set holds the distinct 5-word shingles of a text as 64-bit hashes. Two documen
 3. A linked pair has ``ceil(0.75 n)`` shingles or more in common, so it meets in the first ``n - ceil(0.75 n) + 1`` columns of either
    set. Only these entries of the incidence matrix are shuffled, and columns with one entry go at once.
 4. Products are summed per pair. A pair is discarded when its overlap so far and all that may follow stay below the overlap that its two
-   sizes ask for; the others are compared by their whole sets.
+   sizes ask for; the others are compared by their whole sets. The same bound, with the columns that a node shares with anyone, keeps
+   most of the entries of a crowded column apart before they meet.
 5. Columns are blocked so that a group of thousands of near copies doesn't give all its pairs: two rounds pair each entry with one pivot of its
    column; their links give components; then only entries of different components meet in a column, and all of those do.
    So no link between different components is lost, and pairs inside one are not needed.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.llm.batches import SHINGLE, distinct_sorted, row_numbers, shingles, slices, words
+from lexforge.llm.batches import SHINGLE, distinct_sorted, row_numbers, shingles, slices, words, written
 from lexforge.llm.components import components
 from lexforge.operators.joins import fits_broadcast, lookup_join
 from lexforge.operators.materialize import materialize
@@ -160,48 +161,64 @@ def _shared(entries: DataFrame) -> DataFrame:
     return entries.repartition(parts, "_h").sortWithinPartitions("_h").mapInArrow(run, "_h long, _node long, _n long")
 
 
-def _possible(a: Column, b: Column, seen: Column, percent: int) -> Column:
-    """Whether two sets of these sizes that share ``seen`` columns may link.
+def _need(a: Column, b: Column, percent: int) -> Column:
+    """The fewest columns in which two sets of these sizes must have met if they link.
 
-    They need ceil(p / (100 + p) * (a + b)) shingles in common. Those not yet seen lie behind the columns of the larger set.
+    They share ceil(p / (100 + p) * (a + b)) shingles or more; those that are not seen lie behind the columns of the larger set.
     """
-    need = F.ceil(F.lit(percent) * (a + b) / F.lit(100 + percent))
-    behind = F.ceil(F.lit(percent) * F.greatest(a, b) / 100) - 1
-    return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (seen + behind >= need)
+    return F.ceil(F.lit(percent) * (a + b) / F.lit(100 + percent)) - F.ceil(F.lit(percent) * F.greatest(a, b) / 100) + 1
+
+
+def _alike(a: Column, b: Column, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
 def _counted(products: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs whose summed products leave a link possible."""
     summed = products.groupBy("a", "b").agg(F.count("*").alias("_seen"), F.max("_na").alias("_na"), F.max("_nb").alias("_nb"))
-    return summed.filter(_possible(F.col("_na"), F.col("_nb"), F.col("_seen"), percent)).select("a", "b")
+    na, nb = F.col("_na"), F.col("_nb")
+    return summed.filter(_alike(na, nb, percent) & (F.col("_seen") >= _need(na, nb, percent))).select("a", "b")
 
 
 def _star_products(cells: DataFrame, turn: int) -> DataFrame:
-    """Each entry with the pivot of its column: the node with the smallest hash of this round."""
-    first = F.min(F.struct(F.xxhash64(F.lit(turn), "_node").alias("_p"), F.col("_node").alias("b"), F.col("_n").alias("_nb")))
-    pivots = cells.groupBy("_h").agg(first.alias("_f")).select("_h", "_f.b", "_f._nb")
+    """Each entry with the pivot of its column.
+
+    At first that is the node that shares the largest part of its columns with others, the middle of a group of near copies; then the
+    node with the smallest hash of the round.
+    """
+    rank = -F.col("_s") / F.col("_n") if turn == 0 else F.lit(0.0)
+    order = [rank.alias("_r"), F.xxhash64(F.lit(turn), "_node").alias("_p"), F.col("_node").alias("b"), F.col("_n").alias("_nb")]
+    pivots = cells.groupBy("_h").agg(F.min(F.struct(*order)).alias("_f")).select("_h", "_f.b", "_f._nb")
     met = cells.join(pivots, "_h").filter("_node <> b")
-    small, large = F.least("_node", "b"), F.greatest("_node", "b")
-    return met.select(small.alias("a"), large.alias("b"), F.when(F.col("_node") == small, F.col("_n")).otherwise(F.col("_nb")).alias("_na"),
-                      F.when(F.col("_node") == large, F.col("_n")).otherwise(F.col("_nb")).alias("_nb"))
+    first = F.col("_node") < F.col("b")
+    return met.select(F.least("_node", "b").alias("a"), F.greatest("_node", "b").alias("b"),
+                      F.when(first, F.col("_n")).otherwise(F.col("_nb")).alias("_na"), F.when(first, F.col("_nb")).otherwise(F.col("_n")).alias("_nb"))
 
 
 def _cross_products(cells: DataFrame, percent: int) -> DataFrame:
-    """Entries of one column that lie in different components, and only those.
+    """Entries of one column that lie in different components and whose sizes and shared columns leave a link possible.
 
-    The components of a column meet first; entries are then joined to the pairs of components.
+    No pair shares more columns than either node shares with anyone (_s). Sizes of a column meet first, then components, then entries;
+    each step keeps what some partner still needs.
     """
-    of = cells.groupBy("_h", "_c").agg(F.lit(1).alias("_one")).drop("_one")
-    many = of.groupBy("_h").agg(F.count("*").alias("_k")).filter("_k > 1").select("_h")
-    of = materialize(of.join(many, "_h"), "crossed")
-    pairs = of.join(of.withColumnRenamed("_c", "_d"), "_h").filter("_c < _d")
-    left = cells.select("_h", "_c", F.col("_node").alias("_x"), F.col("_n").alias("_nx"))
-    right = cells.select("_h", F.col("_c").alias("_d"), F.col("_node").alias("_y"), F.col("_n").alias("_ny"))
-    near = 100 * F.least("_nx", "_ny") >= percent * F.greatest("_nx", "_ny")
-    met = pairs.join(left, ["_h", "_c"]).join(right, ["_h", "_d"]).filter(near)
+    sizes = cells.groupBy("_h", "_n").agg(F.max("_s").alias("_top"), F.min("_c").alias("_low"), F.max("_c").alias("_high"))
+    others = sizes.toDF("_h", "_m", "_top2", "_low2", "_high2")
+    need = _need(F.col("_n"), F.col("_m"), percent)
+    several = F.least("_low", "_low2") < F.greatest("_high", "_high2")
+    fits = _alike(F.col("_n"), F.col("_m"), percent) & (need <= F.least("_top", "_top2")) & several
+    least = sizes.join(others, "_h").filter(fits).groupBy("_h", "_n").agg(F.min(need).alias("_least"))
+    alive = materialize(cells.join(least, ["_h", "_n"]).filter("_s >= _least").drop("_least"), "alive")
+
+    classes = materialize(alive.groupBy("_h", "_n", "_c").agg(F.max("_s").alias("_top")), "classes")
+    facing = classes.toDF("_h", "_m", "_d", "_top2")
+    pairs = classes.join(facing, "_h").filter((F.col("_c") < F.col("_d")) & _alike(F.col("_n"), F.col("_m"), percent)
+                                              & (need <= F.least("_top", "_top2"))).select("_h", "_n", "_c", "_m", "_d", need.alias("_need"))
+    left = alive.select("_h", "_n", "_c", F.col("_node").alias("_x"), F.col("_s").alias("_sx"))
+    right = alive.select("_h", F.col("_n").alias("_m"), F.col("_c").alias("_d"), F.col("_node").alias("_y"), F.col("_s").alias("_sy"))
+    met = pairs.join(left, ["_h", "_n", "_c"]).filter("_sx >= _need").join(right, ["_h", "_m", "_d"]).filter("_sy >= _need")
     first = F.col("_x") < F.col("_y")
     return met.select(F.least("_x", "_y").alias("a"), F.greatest("_x", "_y").alias("b"),
-                      F.when(first, F.col("_nx")).otherwise(F.col("_ny")).alias("_na"), F.when(first, F.col("_ny")).otherwise(F.col("_nx")).alias("_nb"))
+                      F.when(first, F.col("_n")).otherwise(F.col("_m")).alias("_na"), F.when(first, F.col("_m")).otherwise(F.col("_n")).alias("_nb"))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -212,29 +229,19 @@ def _verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> Dat
         for batch in batches:
             for part in slices(batch, "_text"):
                 values, rows = _sets(part, size)
-                edges = rows.tolist()
-                sets = [values[a:b].tobytes() for a, b in zip(edges, edges[1:])]
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(sets, pa.binary())], names=["_node", "_set"])
+                sets = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("_id"), sets], names=["_node", "_set"])
 
-    sets = materialize(lookup_join(docs, needed, ["_id"], "inner").mapInArrow(hashed, "_node long, _set binary"), "sets")
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for left, right in zip(batch.column("_sa"), batch.column("_sb")):
-                x, y = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                kept.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-    with_sets = pairs.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b").select("a", "b", "_sa", "_sb")
-    return with_sets.mapInArrow(compared, "a long, b long")
+    sets = written(lookup_join(docs, needed, ["_id"], "inner").mapInArrow(hashed, "_node long, _set array<long>"), "sets")
+    with_sets = pairs.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
+    both = F.size(F.array_intersect("_sa", "_sb"))
+    return with_sets.filter(100 * both >= percent * (F.size("_sa") + F.size("_sb") - both)).select("a", "b").distinct()
 
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id) for every row; component_id is the smallest id that links reach."""
     rows = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
-    described = materialize(_described(rows, size), "described")
+    described = written(_described(rows, size), "described")
     crowded = crowded_cells(described.filter("_stripe is not null").select("_stripe", "_counts"))
     listed = described.filter("_stripe is null").select("_id", "n_shingles", "_digest")
     # equal sets are one node, that of the smallest id
@@ -245,10 +252,11 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     named = materialize(named, "named")
 
     given = rows.filter("_id is not null")
-    cells = materialize(_shared(_entries(given, crowded, size, percent)), "cells")
+    cells = written(_shared(_entries(given, crowded, size, percent)), "cells", 4_000)
     renamed = named.filter("_id <> _rep").groupBy(F.col("_id").alias("_node")).agg(F.min("_rep").alias("_rep"))
     cells = lookup_join(cells, renamed, ["_node"]).select("_h", F.coalesce("_rep", "_node").alias("_node"), "_n").distinct()
     cells = materialize(cells, "cells")
+    cells = materialize(cells.join(cells.groupBy("_node").agg(F.count("*").alias("_s")), "_node"), "cells")
 
     links = None
     labelled = cells
@@ -270,27 +278,7 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
 def _of_mixed_columns(labelled: DataFrame) -> DataFrame:
     """Entries of columns that hold more than one component; the rest is settled."""
     mixed = labelled.groupBy("_h").agg(F.min("_c").alias("_low"), F.max("_c").alias("_high")).filter("_low < _high").select("_h")
-    return labelled.join(mixed, "_h").select("_h", "_node", "_n")
-
-
-def _of_mixed_columns(labelled: DataFrame) -> DataFrame:
-    """Entries of columns that hold more than one component; the rest is settled."""
-    mixed = labelled.groupBy("_h").agg(F.min("_c").alias("_low"), F.max("_c").alias("_high")).filter("_low < _high").select("_h")
-    return labelled.join(mixed, "_h").select("_h", "_node", "_n")
-
-
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of the table whose id is the smallest of its component, each id once; rows with a null id all stay."""
-    found = similar_documents(docs, key, text)
-    gone = materialize(found.filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct(), "gone")
-    kept = lookup_join(docs.withColumn("_gone", F.col(key).cast("long")), gone.withColumn("_out", F.lit(True)), ["_gone"])
-    kept = kept.filter("_out is null").drop("_gone", "_out")
-    twice = found.groupBy(F.col(key).alias("_again")).agg(F.count("*").alias("_k")).filter("_k > 1 and _again is not null").select("_again")
-    twice = materialize(twice, "twice")
-    if twice.isEmpty():
-        return kept
-    marked = lookup_join(kept.withColumn("_again", F.col(key).cast("long")), twice.withColumn("_twice", F.lit(True)), ["_again"])
-    return marked.filter("_twice is null").union(marked.filter("_twice").dropDuplicates([key])).drop("_again", "_twice")
+    return labelled.join(mixed, "_h").select("_h", "_node", "_n", "_s")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
