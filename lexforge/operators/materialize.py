@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_scope: ContextVar[str] = ContextVar("scope", default="")
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -34,14 +38,29 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A new path below this application's part of the shared folder."""
-    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}{_scope.get()}/{name}-{uuid.uuid4().hex}"
 
 
 def _own_folder(spark: SparkSession) -> str:
     return f"{work_dir(spark).rstrip('/')}/lexforge-{spark.sparkContext.applicationId}"
 
 
+@contextmanager
+def own_work_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialized inside are deleted at the end; plans that read them can no longer run then."""
+    token = _scope.set(f"{_scope.get()}/run-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        _delete(spark, _own_folder(spark) + _scope.get())
+        _scope.reset(token)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_work_tables(spark: SparkSession) -> None:
     """Delete all tables this application materialized; plans that read them can no longer run."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _own_folder(spark))

@@ -1,3 +1,4 @@
+import glob
 import json
 
 import pytest
@@ -7,7 +8,9 @@ from fixtures import write_sources
 from lexforge.operators import joins, ranking
 from lexforge.plans.frequencies import compile_frequencies
 from lexforge.plans import alignment, crossing, exports, meanings, readings, vocabulary
-from lexforge.plans.run import compile_all, run
+from lexforge.__main__ import main
+from lexforge.operators.materialize import work_dir
+from lexforge.plans.run import RunOptions, compile_all, run
 from lexforge.sources import readers, schemas
 
 
@@ -217,6 +220,57 @@ def test_run_writes_and_caches(spark, tmp_path):
     assert str(tmp_path / "cache") in again["vocabulary"].inputFiles()[0]
 
 
+def test_a_changed_source_is_seen_where_it_is_used(spark, tmp_path):
+    """One source is edited at a time: every table made from it changes folder, all others are read back."""
+    paths = write_sources(tmp_path, cache=str(tmp_path / "cache"))
+    folder = tmp_path / "cache"
+    compile_all(spark, paths)
+    stages = {p.name.removesuffix("-cache") for p in folder.iterdir()}
+
+    def renewed(edit):
+        before = {p: set(p.iterdir()) for p in folder.iterdir()}
+        edit()
+        tables = compile_all(spark, paths)
+        return {p.name.removesuffix("-cache") for p in folder.iterdir() if set(p.iterdir()) != before[p]}, tables
+
+    def append(path, line):
+        def edit():
+            with open(path, "a", encoding="utf-8") as f:
+                f.write(line + "\n")
+        return edit
+
+    made, tables = renewed(append(paths.decompositions, "日:new(alpha,beta)"))
+    assert made == {"symbols", "symbols-with-words", "words-with-symbols"}
+    made, _ = renewed(append(paths.tanos, json.dumps({"kanji": "愛"})))
+    assert made >= {"tanos", "meanings", "dictionary-readings"} and not made & {"levels", "kanjidic", "words", "dictionary", "frequencies"}
+    made, _ = renewed(append(paths.dictionary, "愛 [あい] /(n) new gloss/"))
+    assert made >= {"dictionary", "vocabulary", "reading-sums"} and not made & {"levels", "kanjidic", "tanos", "frequencies", "meanings"}
+    made, _ = renewed(append(next(iter(paths.symbol_frequencies.values())), "新,5,0.1"))
+    assert made == {"frequencies", "symbols", "symbols-with-words", "words-with-symbols"}
+    made, _ = renewed(lambda: None)
+    assert not made and len(stages) == 15
+
+
+def test_options_of_the_run(spark, tmp_path):
+    paths, out = write_sources(tmp_path), tmp_path / "out"
+    plain = {n: t.count() for n, t in compile_all(spark, paths).items() if n in ("frequencies", "symbols", "words_with_symbols", "common_words")}
+    o = RunOptions(use_tanos=True, strict_keys=True, drop_totals=True, keep_unread=True, keep_unmatched=True, common_word=0)
+    other = {n: t.count() for n, t in compile_all(spark, paths, o).items() if n in plain}
+    assert other["frequencies"] == plain["frequencies"] - 1 and other["symbols"] > plain["symbols"]
+    assert other["words_with_symbols"] > plain["words_with_symbols"] and other["common_words"] > plain["common_words"]
+    work = work_dir(spark)
+    before = {p for p in glob.glob(f"{work}/**", recursive=True)}
+    main([str(tmp_path), str(out), "--everything", "--report", "--batch", "2", "--word-table", "w", "--rows-per-file", "1", "--common-word", "5"])
+    assert {p for p in glob.glob(f"{work}/**", recursive=True)} == before  # no work table remains
+    bodies = [json.loads(r.value) for r in spark.read.text(str(out / "word_bodies")).collect()]
+    assert all(1 <= len(b["RequestItems"]["w"]) <= 2 for b in bodies)
+    assert sum(len(b["RequestItems"]["w"]) for b in bodies) == spark.read.text(str(out / "word_entries")).count()
+    assert list(json.loads(spark.read.text(str(out / "symbol_bodies")).first().value)["RequestItems"]) == ["symbols"]
+    profiles = spark.read.json(str(out / "profile"))
+    assert {"vocabulary", "symbols", "word_summary"} <= {r.table for r in profiles.select("table").distinct().collect()}
+    assert {r.source for r in spark.read.json(str(out / "audit")).collect()} >= {"levels", "kanjidic", "tanos"}
+
+
 def test_audit(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"kanji": "愛", "level": 1}\nnot json\n')
     (tmp_path / "empty.json").write_text("")
