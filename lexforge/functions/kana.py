@@ -33,7 +33,14 @@ ROWS = {
     "ぱぴぷぺぽ": "pa pi pu pe po",
     "ぁぃぅぇぉ": "a i u e o",
     "ゃゅょゎ": "ya yu yo wa",
-    "んゔ": "n vu",
+    "んゔゕゖ": "n vu ka ke",
+}
+# Syllables of loan words: a kana and a small vowel or y syllable.
+LOANS = {
+    "いぇ": "ye", "うぃ": "wi", "うぇ": "we", "うぉ": "wo", "ゔぁ": "va", "ゔぃ": "vi", "ゔぇ": "ve", "ゔぉ": "vo", "ゔゅ": "vyu",
+    "くぁ": "kwa", "くぃ": "kwi", "くぇ": "kwe", "くぉ": "kwo", "ぐぁ": "gwa", "しぇ": "she", "じぇ": "je", "ちぇ": "che",
+    "つぁ": "tsa", "つぃ": "tsi", "つぇ": "tse", "つぉ": "tso", "てぃ": "ti", "でぃ": "di", "てゅ": "tyu", "でゅ": "dyu",
+    "とぅ": "tu", "どぅ": "du", "ふぁ": "fa", "ふぃ": "fi", "ふぇ": "fe", "ふぉ": "fo", "ふゅ": "fyu",
 }
 # Syllables of the i column that join with a small y syllable.
 GLIDES = {"き": "ky", "し": "sh", "ち": "ch", "に": "ny", "ひ": "hy", "み": "my", "り": "ry",
@@ -44,7 +51,7 @@ SMALL_Y = {"ゃ": "a", "ゅ": "u", "ょ": "o"}
 def _syllables() -> dict[str, str]:
     single = {k: r for kana, latin in ROWS.items() for k, r in zip(kana, latin.split())}
     joined = {k + y: g + v for k, g in GLIDES.items() for y, v in SMALL_Y.items()}
-    return single | joined
+    return single | joined | LOANS
 
 
 SYLLABLES = _syllables()
@@ -59,13 +66,17 @@ def to_katakana(text: Column) -> Column:
 
 
 def to_romaji(text: Column) -> Column:
-    """Hepburn with long vowels spelled out; a small tsu doubles the next consonant."""
+    """Hepburn with long vowels spelled out.
+
+    A small tsu doubles the next consonant, as t before ch; one that no consonant follows is silent.
+    """
     table = F.create_map(*[F.lit(x) for x in chain.from_iterable(SYLLABLES.items())])
-    glides = "".join(GLIDES)
-    small = "".join(SMALL_Y)
-    tokens = F.regexp_extract_all(to_hiragana(text), F.lit(f"(?s)([{glides}][{small}]|.)"), 1)
+    pairs = "|".join(k for k in SYLLABLES if len(k) == 2)
+    tokens = F.regexp_extract_all(to_hiragana(text), F.lit(f"(?s)({pairs}|.)"), 1)
     latin = F.array_join(F.transform(tokens, lambda t: F.coalesce(F.try_element_at(table, t), t)), "")
+    latin = F.regexp_replace(latin, "っ(?=ch)", "t")
     latin = F.regexp_replace(latin, "っ([bcdfghjkmnpqrstvwyz])", "$1$1")
+    latin = F.replace(latin, F.lit("っ"), F.lit(""))
     return F.regexp_replace(latin, "([aiueo])ー", "$1$1")
 
 

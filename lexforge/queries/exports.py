@@ -20,7 +20,7 @@ def word_summary(spark, sf_dir):
 
 
 def _kana(column):
-    return F.translate(F.lower(column), LATIN, KANA)
+    return F.translate(F.lower(column), LATIN, KANA[0])
 
 
 def symbol_summary(spark, sf_dir):
@@ -40,8 +40,8 @@ def symbol_summary(spark, sf_dir):
     return summarize_symbols(parts)
 
 
-_TYPE = f"translate(lower(p_type), '{LATIN}', '{KANA}')"
-_NAME = f"translate(lower(p_name), '{LATIN}', '{KANA}')"
+_TYPE = f"translate(lower(p_type), '{LATIN}', '{KANA[0]}')"
+_NAME = f"translate(lower(p_name), '{LATIN}', '{KANA[0]}')"
 
 
 def kv_entries(spark, sf_dir):

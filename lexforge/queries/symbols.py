@@ -4,40 +4,66 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexforge.functions.kana import HIRAGANA, KATAKANA, SYLLABLES, transliteration
+from lexforge.functions.kana import to_katakana, transliteration
 from lexforge.functions.symbols import distinct_symbols, has_symbol
 from lexforge.operators.materialize import materialize
 from lexforge.plans.alignment import align_readings
 from lexforge.plans.vocabulary import with_base_forms, with_scripts
 from lexforge.queries.base import TERMS, Query, table, term_counts
 
-# Each Latin letter stands for one kana, among them a small y syllable, the doubling sign and a long vowel mark.
+# Each Latin letter stands for one kana. Words of other lengths have other letters, so that all kana occur, the small ones too; words of
+# 5 to 8, 13 to 16, ... letters are written in the other script.
 LATIN = "abcdefghijklmnopqrstuvwxyz"
-KANA = "あしちえゃきにひいりみらまんおぱかるさたうびわっよー"
+ALPHABETS = [
+    "あしちえゃきにひいりみらまんおぱかるさたうびわっよー",
+    "ぁふゔてぃとぅじぇつうぉしゅちょーっくぐでどんいりあ",
+    "かがきぎくぐけげこごさざしじすずせぜそぞただちぢゃゅょ",
+    "つづてでとどなにぬねのはばぱひびぴふぶぷへべぺほぼぽ"
+]
+MORE = "まみむめもやゆよらりるれろわゐゑをんゔゕゖゎぁぃぅぇぉ"
+KANA = [alphabet[:26] for alphabet in [*ALPHABETS, MORE]]
 
 
 def kana_scripts(spark, sf_dir):
-    words = term_counts(spark, sf_dir).select("term", F.translate("term", LATIN, KANA).alias("kana"))
+    length = F.char_length("term")
+    kana = F.coalesce(*[F.when(length % len(KANA) == i, F.translate("term", LATIN, k)) for i, k in enumerate(KANA)])
+    words = term_counts(spark, sf_dir).select("term", F.when((length - 1) % 8 >= 4, to_katakana(kana)).otherwise(kana).alias("kana"))
     return words.select("term", transliteration(F.col("kana")).alias("t")).select("term", "t.*")
 
 
+# The two scripts are aligned blocks of Unicode.
+HIRAGANA, KATAKANA = ("".join(map(chr, range(first, first + 86))) for first in (0x3041, 0x30A1))
+
+
 def _replace_all(text: str, pairs) -> str:
     for a, b in pairs:
         text = f"replace({text}, '{a}', '{b}')"
     return text
 
 
+# The whole spelling once more, for the comparison. Two kana first, then one.
+TWO = """きゃ kya きゅ kyu きょ kyo しゃ sha しゅ shu しょ sho ちゃ cha ちゅ chu ちょ cho にゃ nya にゅ nyu にょ nyo ひゃ hya ひゅ hyu ひょ hyo
+みゃ mya みゅ myu みょ myo りゃ rya りゅ ryu りょ ryo ぎゃ gya ぎゅ gyu ぎょ gyo じゃ ja じゅ ju じょ jo ぢゃ ja ぢゅ ju ぢょ jo びゃ bya びゅ byu びょ byo
+ぴゃ pya ぴゅ pyu ぴょ pyo いぇ ye うぃ wi うぇ we うぉ wo ゔぁ va ゔぃ vi ゔぇ ve ゔぉ vo ゔゅ vyu くぁ kwa くぃ kwi くぇ kwe くぉ kwo ぐぁ gwa
+しぇ she じぇ je ちぇ che つぁ tsa つぃ tsi つぇ tse つぉ tso てぃ ti でぃ di てゅ tyu でゅ dyu とぅ tu どぅ du ふぁ fa ふぃ fi ふぇ fe ふぉ fo ふゅ fyu""".split()
+ONE = """あ a い i う u え e お o か ka き ki く ku け ke こ ko さ sa し shi す su せ se そ so た ta ち chi つ tsu て te と to な na に ni ぬ nu ね ne の no
+は ha ひ hi ふ fu へ he ほ ho ま ma み mi む mu め me も mo や ya ゆ yu よ yo ら ra り ri る ru れ re ろ ro わ wa ゐ wi ゑ we を wo ん n
+が ga ぎ gi ぐ gu げ ge ご go ざ za じ ji ず zu ぜ ze ぞ zo だ da ぢ ji づ zu で de ど do ば ba び bi ぶ bu べ be ぼ bo ぱ pa ぴ pi ぷ pu ぺ pe ぽ po
+ゔ vu ゕ ka ゖ ke ぁ a ぃ i ぅ u ぇ e ぉ o ゃ ya ゅ yu ょ yo ゎ wa""".split()
+
+
 def _romaji_sql(text: str) -> str:
-    joined = [(k, r) for k, r in SYLLABLES.items() if len(k) == 2 and k[0] in KANA and k[1] in KANA]
-    single = [(k, r) for k, r in SYLLABLES.items() if len(k) == 1 and k in KANA]
-    latin = _replace_all(_replace_all(text, joined), single)
-    doubled = f"regexp_replace({latin}, 'っ([bcdfghjkmnpqrstvwyz])', '\\1\\1', 'g')"
-    return f"regexp_replace({doubled}, '([aiueo])ー', '\\1\\1', 'g')"
+    """The Latin spelling of hiragana. Pairs that share a kana can't overlap, since the second kana of a pair is small."""
+    latin = _replace_all(_replace_all(text, zip(TWO[::2], TWO[1::2])), zip(ONE[::2], ONE[1::2]))
+    doubled = f"regexp_replace(replace({latin}, 'っch', 'tch'), 'っ([bcdfghjkmnpqrstvwyz])', '\\1\\1', 'g')"
+    return f"regexp_replace(replace({doubled}, 'っ', ''), '([aiueo])ー', '\\1\\1', 'g')"
 
 
-_KANA_SQL = f"""WITH {TERMS}, words AS (SELECT term, translate(term, '{LATIN}', '{KANA}') AS kana FROM terms)
-    SELECT term, kana AS original, kana AS hiragana, translate(kana, '{HIRAGANA}', '{KATAKANA}') AS katakana,
-        {_romaji_sql('kana')} AS romaji FROM words"""
+_CHOSEN = " ".join(f"WHEN len(term) % {len(KANA)} = {i} THEN translate(term, '{LATIN}', '{k}')" for i, k in enumerate(KANA))
+_KANA_SQL = f"""WITH {TERMS}, words AS (SELECT term, CASE {_CHOSEN} END AS kana FROM terms),
+    spelled AS (SELECT term, kana, translate(kana, '{KATAKANA}', '{HIRAGANA}') AS hira, (len(term) - 1) % 8 >= 4 AS other FROM words)
+    SELECT term, CASE WHEN other THEN translate(kana, '{HIRAGANA}', '{KATAKANA}') ELSE kana END AS original, hira AS hiragana,
+        translate(hira, '{HIRAGANA}', '{KATAKANA}') AS katakana, {_romaji_sql('hira')} AS romaji FROM spelled"""
 
 
 def letter_sets(spark, sf_dir):

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexforge.functions import entries, kana, lists, records, symbols
+from lexforge.functions.kana import to_romaji
 
 
 def value(spark, data, schema, expr):
@@ -186,3 +187,10 @@ def test_entry_line_is_json(spark):
         item = json.loads(line[:-1])["PutRequest"]["Item"]
         assert item == {"hk": {"S": key}, "sk": {"S": key}, "data": {"S": payload}}
     assert re.match(r'\{"PutRequest": \{"Item": \{"hk": \{"S": "x"\},"sk": \{"S": "x"\},"data": \{"S": "', line)
+
+
+@pytest.mark.parametrize("kana, latin", [
+    ("ファン", "fan"), ("パーティー", "paatii"), ("チェック", "chekku"), ("シェフ", "shefu"), ("ジェット", "jetto"), ("フォーク", "fooku"),
+    ("ヴァイオリン", "vaiorin"), ("マッチ", "matchi"), ("カヶ", "kake"), ("あっ", "a"), ("ウィーク", "wiiku"), ("デュエット", "dyuetto")])
+def test_loan_words_in_latin_letters(spark, kana, latin):
+    assert spark.range(1).select(to_romaji(F.lit(kana)).alias("r")).first().r == latin
