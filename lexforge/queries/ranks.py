@@ -64,21 +64,29 @@ def top_ranks(spark, sf_dir):
     return preview(order_by_rank(corpus_ranks(spark, sf_dir), "rank", "term"), 50).select("term", "avgRank", "rank")
 
 
+def with_shares(counts, media):
+    """Counts in several media with the share of each medium and the mean share; a medium without words gives null shares.
+
+    The totals are one row, joined by a constant.
+    """
+    counts = materialize(counts, "media").withColumn("_one", F.lit(1))
+    totals = counts.groupBy("_one").agg(*[F.sum(f"{m}Ocurrences").cast("double").alias(f"_{m}") for m in media])
+    shares = counts.join(F.broadcast(totals), "_one").withColumns({f"{m}Relative": F.try_divide(f"{m}Ocurrences", f"_{m}") for m in media})
+    total = F.col(f"{media[0]}Relative")
+    for m in media[1:]:
+        total = total + F.col(f"{m}Relative")
+    return shares.withColumn("averageRelative", total / F.lit(float(len(media)))).drop("_one", *[f"_{m}" for m in media])
+
+
 def _media_words(spark, sf_dir):
     """Each part is a word; quantities by return flag are its counts in three media."""
+    media = {"internet": "A", "novel": "N", "subtitles": "R"}
     sums = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(*[
         F.sum(F.when(F.col("l_returnflag") == flag, F.col("l_quantity")).otherwise(0)).cast("long").alias(f"{medium}Ocurrences")
-        for medium, flag in [("internet", "A"), ("novel", "N"), ("subtitles", "R")]
-    ])
-    sums = materialize(sums, "media")
-    media = ["internet", "novel", "subtitles"]
-    (totals,) = sums.agg(*[F.sum(f"{m}Ocurrences").alias(m) for m in media]).collect()
-    named = sums.withColumns({f"{m}Relative": F.col(f"{m}Ocurrences") / F.lit(totals[m]) for m in media})
+        for medium, flag in media.items()])
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string")).alias("word"))
-    return named.join(parts, "l_partkey").withColumn(
-        "averageRelative", (F.col("internetRelative") + F.col("novelRelative") + F.col("subtitlesRelative")) / F.lit(3.0)
-    ).drop("l_partkey")
+    return with_shares(sums, list(media)).join(parts, "l_partkey").drop("l_partkey")
 
 
 def word_ranks(spark, sf_dir):
