@@ -12,17 +12,14 @@ from lexforge.operators.materialize import materialize
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
-# The keys with the most rows, never more than HOT_KEYS of them, are taken apart into SALTS tasks each.
-# Any other key holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 1_000
+# A key with more rows than this is taken apart, into one task for each HOT_ROWS of its rows.
 HOT_ROWS = 100_000
-SALTS = 256
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure the table's rows and bytes; a partition is read no further than the bound."""
+    """Measure the table's rows and bytes, in one pass that moves one row per task."""
     width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    n, total = df.select(width.alias("b")).limit(rows + 1).agg(F.count("*"), F.sum("b")).first()
+    n, total = df.select(width.alias("b")).agg(F.count("*"), F.sum("b")).first()
     return n <= rows and (total or 0) <= size
 
 
@@ -65,29 +62,37 @@ def lookup_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str =
 
 
 def hot_keys(counts: DataFrame, on: Sequence[str], n: str, above: int | None = None) -> DataFrame:
-    """The keys that hold the most rows, from a table of counts; HOT_KEYS bounds their number."""
-    many = counts.filter(F.col(n) > (HOT_ROWS if above is None else above))
-    return materialize(many.orderBy(F.desc(n)).limit(HOT_KEYS).select(*on), "hot")
+    """(on..., _salts): the keys that hold more than ``above`` rows, from a table of counts, and over how many places to scatter them.
+
+    Should they be too many to be sent to every task, the bound rises until they are not; any other key then holds a
+    negligible part of the rows.
+    """
+    bound = HOT_ROWS if above is None else above
+    salts = F.ceil(F.col("_rows") / F.lit(max(bound, 1))).cast("int") + 1
+    found = materialize(counts.filter(F.col(n) > bound).select(*on, F.col(n).alias("_rows")), "hot")
+    while found.count() > BROADCAST_ROWS:
+        bound *= 4
+        found = materialize(found.filter(F.col("_rows") > bound), "hot")
+    return found.select(*on, salts.alias("_salts"))
 
 
 def skew_join(big: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, hot: DataFrame,
               null_safe: bool = False) -> DataFrame:
-    """Shuffle join in which only the ``hot`` keys are salted.
+    """Shuffle join in which only the ``hot`` keys are salted, each over as many places as its rows ask for.
 
-    A hot row of the big side goes to one of SALTS places, and the lookup row of its key to all of
-    them. Rows with a null key match nothing unless ``null_safe``; they are scattered as well.
+    A hot row of the big side goes to one of them, and the lookup row of its key to all. Rows with a null key match
+    nothing unless ``null_safe``; they are scattered as well.
     """
     on = list(on)
-    marks = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    scattered = F.col("_hot").isNotNull()
+    marks = F.broadcast(hot)
+    salts = F.col("_salts")
+    place = F.when(salts.isNotNull(), F.pmod(spread(big, 1 << 20), salts))
     if not null_safe:
         for k in on:
-            scattered = scattered | F.col(k).isNull()
-    left = null_safe_join(big, marks, on, "left").withColumn(
-        "_salt", F.when(scattered, spread(big, SALTS)).otherwise(0)).drop("_hot")
+            place = place.when(F.col(k).isNull(), spread(big, 1 << 20))
+    left = null_safe_join(big, marks, on, "left").withColumn("_salt", place.otherwise(0).cast("int")).drop("_salts")
     right = null_safe_join(lookup, marks, on, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
-    ).drop("_hot")
+        "_salt", F.explode(F.when(salts.isNotNull(), F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0))))).drop("_salts")
     if null_safe:
         return null_safe_join(left, right, on, how, never_null=["_salt"]).drop("_salt")
     return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexforge.operators.joins import hot_keys, null_safe_join, skew_join
+from lexforge.operators.joins import fits_broadcast, hot_keys, null_safe_join, skew_join
 from lexforge.operators.materialize import materialize
 
 WINDOW_ROWS = 100_000
@@ -70,7 +70,7 @@ def dense_ranks(df: DataFrame, ranks: Mapping[str, str], group: Sequence[str] =
     at no cost: with that few rows it is ranked as it stands.
     """
     window_rows = WINDOW_ROWS if window_rows is None else window_rows
-    if written and df.count() <= window_rows:
+    if written and df.count() <= window_rows and _narrow(df):
         return df.withColumns({out: _plain_rank(group, F.col(c), descending) for out, c in ranks.items()})
     by_type: dict[str, dict[str, str]] = {}
     for out, column in ranks.items():
@@ -80,6 +80,11 @@ def dense_ranks(df: DataFrame, ranks: Mapping[str, str], group: Sequence[str] =
     return df
 
 
+def _narrow(df: DataFrame) -> bool:
+    """A table without lists and structs, whose rows a single task can take with their rank."""
+    return not any(t.startswith(("array", "map", "struct")) for _, t in df.dtypes)
+
+
 def _plain_rank(group: Sequence[str], value: Column, descending: bool) -> Column:
     within = Window.partitionBy(*group).orderBy(value.desc() if descending else value.asc())
     return F.dense_rank().over(within).cast("long")
@@ -102,7 +107,8 @@ def _dense_ranks_of_type(df: DataFrame, wanted: Mapping[str, str], group: list[s
         keys = [*group, column]
         own = ranked.filter(F.col("_metric") == out).select(
             *group, F.col("_value").alias(column), F.col("_rank").alias(out))
-        if small:
+        # few values, but a value may be a long text: the bytes count as well
+        if small and fits_broadcast(own):
             df = null_safe_join(df, F.broadcast(own), keys, "left")
         else:
             rows = counted.filter(F.col("_metric") == out).withColumnRenamed("_value", column)

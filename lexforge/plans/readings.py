@@ -93,13 +93,6 @@ def combine_readings(dictionary: DataFrame, sums: DataFrame) -> DataFrame:
     )
 
 
-def all_readings(vocabulary: DataFrame, levels: DataFrame, kanjidic: DataFrame, kanji_alive: DataFrame,
-                 tanos: DataFrame, use_tanos: bool = False) -> DataFrame:
-    return combine_readings(
-        dictionary_readings(levels, kanjidic, kanji_alive, tanos, use_tanos), reading_sums(vocabulary)
-    )
-
-
 def reading_candidates(dictionary: DataFrame) -> DataFrame:
     """(symbol, readings) for the alignment of words."""
     return dictionary.select(F.col("readingsKanji").alias("symbol"), "readings")

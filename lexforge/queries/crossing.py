@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lexforge.functions.symbols import characters
+from lexforge.functions.symbols import LETTER, characters
 from lexforge.operators.joins import Dimension, lookup_join, star_join
 from lexforge.operators.materialize import materialize
 from lexforge.operators.profile import distinct_counts, profile
@@ -12,7 +12,6 @@ from lexforge.operators.ranking import dense_ranks
 from lexforge.plans.crossing import symbols_per_word, symbols_with_words, words_per_symbol, words_with_symbols
 from lexforge.queries.base import LETTERS, Query, table, term_counts
 
-LETTER = r"\p{L}"
 
 
 def left_enrich(spark, sf_dir):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexforge.functions.symbols import characters
 from lexforge.operators.materialize import materialize
 from lexforge.plans.readings import combine_readings, dictionary_readings, infer_readings, reading_sums
-from lexforge.queries.base import TERMS, Query, table, term_counts
+from lexforge.queries.base import PART_ROWS, TERMS, Query, table, term_counts
 
 
 def _vocabulary(counts):
@@ -29,7 +29,7 @@ _SUMS = TERMS + """, spots AS (
 
 def inferred_readings(spark, sf_dir):
     nested = infer_readings(materialize(reading_sums(_vocabulary(term_counts(spark, sf_dir))), "sums"))
-    return nested.select("k", F.array_join(
+    return nested.select("k", "part", F.array_join(
         F.transform("readingsWFreq", lambda x: F.concat_ws(":", x["furigana"]["reading"], x["Occ"].cast("string"))), "|"
     ).alias("readings"))
 
@@ -37,7 +37,8 @@ def inferred_readings(spark, sf_dir):
 def _bigrams(df, text):
     """(letter, next letter) of a text column, each once."""
     chars = df.select(text.alias("t")).distinct().select(characters(F.col("t")).alias("c"))
-    size = F.size("c")
+    # a text without letters has no pairs
+    size = F.greatest(F.size("c"), F.lit(1))
     first, second = F.slice("c", F.lit(1), size - 1), F.slice("c", F.lit(2), size)
     return chars.select(F.inline(F.arrays_zip(first.alias("k"), second.alias("r")))).distinct()
 
@@ -107,7 +108,8 @@ _ALL = "list_transform(list_concat(kun, on_), lambda x: replace(x, '-', ''))"
 
 QUERIES = {
     "inferred_readings": Query(inferred_readings, f"""WITH {_SUMS}
-        SELECT k, string_agg(reading || ':' || occ, '|' ORDER BY reading) AS readings FROM sums GROUP BY k"""),
+        SELECT k, (spot // {PART_ROWS})::INTEGER AS part, string_agg(reading || ':' || occ, '|' ORDER BY reading) AS readings
+        FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY reading, occ) - 1 AS spot FROM sums) GROUP BY 1, 2"""),
     "listed_readings": Query(listed_readings, f"""WITH {TERMS}, {_BOOKS}, {_lists_sql('b.l', 'NULL')}
         SELECT k AS "readingsKanji", array_to_string({_FIRSTS.format(l=_ALL)}, '|') AS readings,
             array_to_string(kun, '|') AS kun, array_to_string(on_, '|') AS on_ FROM lists"""),

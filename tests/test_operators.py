@@ -134,10 +134,25 @@ def test_hot_keys_go_to_many_tasks(spark):
     """In the shuffle of a skewed join no task holds more than a small part of the hot key."""
     big = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), F.col("id"))
     hot = joins.hot_keys(big.groupBy("k").agg(F.count("*").alias("n")), ["k"], "n", above=1_000)
-    assert rows(hot) == [(1,)]
-    salted = big.join(F.broadcast(hot.withColumn("h", F.lit(1))), "k", "left").filter("h = 1").groupBy(
-        joins.spread(big, joins.SALTS).alias("s")).count()
-    assert salted.agg(F.max("count")).first()[0] < 200 and salted.agg(F.sum("count")).first()[0] == 20_001
+    assert rows(hot) == [(1, 22)]
+    salted = big.join(F.broadcast(hot), "k", "left").filter("_salts is not null").groupBy(
+        F.pmod(joins.spread(big, 1 << 20), F.col("_salts")).alias("s")).count()
+    assert salted.agg(F.max("count")).first()[0] < 1_400 and salted.agg(F.sum("count")).first()[0] == 20_001
+
+
+def test_many_hot_keys(spark, monkeypatch):
+    """3,750 hot keys are all taken apart; when they are too many to send, the larger ones are."""
+    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(joins, "HOT_ROWS", 10)
+    big = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 4 > 0, F.col("id") % 5_000).otherwise(F.col("id")).alias("k"), "id")
+    counts = big.groupBy("k").agg(F.count("*").alias("n"))
+    assert joins.hot_keys(counts, ["k"], "n").count() == 3_750
+    dim = spark.range(0, 200_000, 3).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    want = big.join(dim, "k", "left").agg(F.count("*"), F.sum("twice")).first()
+    assert joins.lookup_join(big, dim, ["k"]).agg(F.count("*"), F.sum("twice")).first() == want
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1_000)
+    assert joins.hot_keys(counts, ["k"], "n").count() <= 1_000
+    assert joins.lookup_join(big, dim, ["k"]).agg(F.count("*"), F.sum("twice")).first() == want
 
 
 def test_broadcast_is_size_checked(spark):

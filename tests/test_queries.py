@@ -32,7 +32,6 @@ def test_query_as_on_large_tables(spark, con, name, monkeypatch):
     """The same with every bound so low that no table is small: no broadcast, no plain window, lists in parts."""
     monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
     monkeypatch.setattr(joins, "HOT_ROWS", 100)
-    monkeypatch.setattr(joins, "SALTS", 7)
     monkeypatch.setattr(ranking, "WINDOW_ROWS", 0)
     monkeypatch.setattr(nesting, "PART_ROWS", 500)
     sql = ALL[name].sql.replace(str(base.PART_ROWS), "500")

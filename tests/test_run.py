@@ -160,7 +160,6 @@ def test_as_on_large_tables(spark, tables, tmp_path, monkeypatch):
     """No broadcast, no plain window, every key hot: the same tables."""
     monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
     monkeypatch.setattr(joins, "HOT_ROWS", 0)
-    monkeypatch.setattr(joins, "SALTS", 3)
     monkeypatch.setattr(ranking, "WINDOW_ROWS", 0)
     large = compile_all(spark, write_sources(tmp_path))
     for name, df in tables.items():
