@@ -3,6 +3,7 @@
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -29,6 +30,7 @@ def main():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -11,6 +11,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_local: dict[str, str] = {}
 _scope: ContextVar[str] = ContextVar("scope", default="")
 
 
@@ -21,8 +22,11 @@ def work_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexforge-"))
-    return spark.sparkContext.getCheckpointDir()
+    # one folder per application; the session's own settings stay as they are
+    application = spark.sparkContext.applicationId
+    if application not in _local:
+        _local[application] = tempfile.mkdtemp(prefix="lexforge-")
+    return _local[application]
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

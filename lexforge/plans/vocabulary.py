@@ -40,10 +40,10 @@ def word_totals(words: DataFrame, counts: list[str], out: str = "totalOcurrences
 
 
 def with_base_forms(words: DataFrame, lemmas: DataFrame | None, word: str = "word") -> DataFrame:
-    """The lemma of each word from a (surface, lemma) table with one row per surface; else the word itself."""
+    """The lemma of each word from a (surface, lemma) table; else the word itself. Of several lemmas the first by name counts."""
     if lemmas is None:
         return words.withColumn("baseForm", F.col(word))
-    table = lemmas.select(F.col("surface").alias("_surface"), F.col("lemma").alias("_lemma"))
+    table = lemmas.groupBy(F.col("surface").alias("_surface")).agg(F.min("lemma").alias("_lemma"))
     joined = words.join(table, words[word] == table["_surface"], "left")
     return joined.withColumn("baseForm", F.coalesce("_lemma", word)).drop("_surface", "_lemma")
 

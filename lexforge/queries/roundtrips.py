@@ -42,7 +42,7 @@ def parquet_roundtrip(spark, sf_dir):
 
 
 def _frequency_files(spark, sf_dir):
-    """Quantities per order key by return flag, as headerless frequency files; keys that all three hold are ranked."""
+    """Quantities per part by return flag, as headerless frequency files; parts that all three hold are ranked."""
     lines = materialize(table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_partkey").agg(
         F.sum("l_quantity").cast("long").alias("n")), "quantities")
     corpora = {}

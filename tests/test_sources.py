@@ -46,7 +46,7 @@ def test_json_layouts(spark, tmp_path):
     out = str(tmp_path / "o")
     sinks.write_json(df, out, partitions=4)
     assert len(files(out, ".json")) == 4
-    sinks.write_json(df, out, single_file=True)
+    sinks.write_json(df, out, single_file=1_000)
     assert len(files(out, ".json")) == 1
     sinks.write_json(df, out, rows_per_file=1)
     assert len(files(out, ".json")) == 12
@@ -54,10 +54,11 @@ def test_json_layouts(spark, tmp_path):
     assert list(json.loads(first)) == ["id"]
 
 
-def test_single_file_is_for_small_tables(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "SINGLE_FILE_ROWS", 5)
+def test_a_single_file_holds_what_the_caller_allows(spark, tmp_path):
+    sinks.write_json(spark.range(6), str(tmp_path / "o"), single_file=6)
+    assert spark.read.json(str(tmp_path / "o")).count() == 6
     with pytest.raises(ValueError):
-        sinks.write_json(spark.range(6), str(tmp_path / "o"), single_file=True)
+        sinks.write_json(spark.range(7), str(tmp_path / "p"), single_file=6)
 
 
 def test_csv_is_flat(spark, tmp_path):
