@@ -1,4 +1,7 @@
-"""Small source files in the shapes of the real ones."""
+"""Small source files in the shapes of the real ones.
+
+Fixed values: column names, dictionary rows, bracket lists and log values that must be as in the published files.
+"""
 
 import json
 from pathlib import Path

@@ -1,3 +1,5 @@
+"""Column functions on known values. Sample lines, lists and entries that must come out as published."""
+
 import json
 import random
 import re
