@@ -16,7 +16,6 @@ repeated rows with its id neither; other repeated rows are candidates of their o
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np

@@ -26,7 +26,6 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexforge.operators.joins import lookup_join
 from lexforge.operators.materialize import materialize, work_path
