@@ -91,6 +91,17 @@ def written(df: DataFrame, name: str, rows: int = 1_000) -> DataFrame:
         conf.set(BATCH_SETTING, before)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name with as many underscores in front as it takes to be no column of the table."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a slice hold ``limit`` bytes at most, or the slice is one row."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
