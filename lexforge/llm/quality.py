@@ -1,12 +1,13 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of byte n-grams, trained on trusted text.
 
-1. Tasks pack their documents into blocks of ``BLOCK_BYTES`` of text and write them. A block gives one row for each distinct n-gram it holds, with how
-   often trusted documents hold it, so what is gathered grows with the corpus and not with its bytes.
+1. Tasks take ``BLOCK_BYTES`` of text at a time. Such a block gives one row for each distinct n-gram it holds, with how often trusted
+   documents hold it, so what is shuffled follows the input at a small part of its size.
 2. Counts of all orders are sharded tables: the highest order holds counts, each lower one the number of distinct bytes that come before an n-gram.
    Every order has its own three discounts from the numbers of n-grams that occur once to four times.
 3. The probability of each distinct n-gram of the corpus, seen in training or not, comes from the shortest order up by joins with counts
    and contexts: ``p(w | h) = max(c(hw) - D, 0) / c(h) + gamma(h) * p(w | shorter h)``, over a uniform law of 256 bytes.
-4. Probabilities go back to the blocks that hold the n-gram; a task scores the texts of one block with them.
+4. A model of ``MODEL_ROWS`` n-grams or fewer, 32 MB, is sent to the tasks, which score the documents. A larger one stays sharded: documents are written in
+   blocks, each probability goes to the blocks that hold the n-gram, and a task scores the texts of one block with those.
 5. A document is rejected when its perplexity per byte is above its language's threshold: the ``QUANTILE`` of the perplexity of trusted
    documents of that language, times ``MARGIN``. A language without trusted documents takes the quantile over all of them. For this a
    text counts as if ``PRIOR_BYTES`` bytes of the median perplexity came with it, so a few rare letters don't reject a short text.
@@ -29,12 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.llm.batches import slices, text_buffer
+from lexforge.llm.batches import slices, text_buffer, written
 from lexforge.operators.joins import fits_broadcast, lookup_join, null_safe_join
 from lexforge.operators.materialize import materialize
 
 ORDER = 4
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+MODEL_ROWS = 2_000_000
 QUANTILE = 0.99
 MARGIN = 1.25
 PRIOR_BYTES = 32
@@ -99,20 +101,49 @@ def _summed(tables: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return keys, np.bincount(back, np.concatenate([c for _, c in tables]), len(keys)).astype(np.int64)
 
 
+_COUNTED = "_block long, _g long, _n long"
+
+
+def _counts(parts: Iterator[pa.RecordBatch], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of some documents, and how often the trusted ones hold them."""
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    for part in parts:
+        kinds, ids, offsets = grams(part.column("_text"), order)
+        trusted = np.repeat(part.column("_trusted").to_numpy(zero_copy_only=False), np.diff(offsets))
+        found.append((kinds, np.bincount(ids[trusted], minlength=len(kinds))))
+        if len(found) > 16:
+            found = [_summed(found)]
+    return _summed(found)
+
+
+def _counted_batch(block: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block)), pa.array(keys), pa.array(counts)], names=["_block", "_g", "_n"])
+
+
+def _task_grams(docs: DataFrame, order: int, block_bytes: int) -> DataFrame:
+    """(_block, _g, _n) of about ``block_bytes`` of text at a time; the block is 0."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                held.append(part)
+                size += pc.sum(pc.binary_length(part.column("_text"))).as_py() or 0
+                if size >= block_bytes:
+                    yield _counted_batch(0, *_counts(held, order))
+                    held, size = [], 0
+        yield _counted_batch(0, *_counts(held, order))
+
+    return docs.mapInArrow(run, _COUNTED)
+
+
 def _block_grams(blocks: DataFrame, order: int) -> DataFrame:
-    """(_block, _g, _n): the distinct n-grams of each block, and how often its trusted documents hold them."""
+    """(_block, _g, _n) of written blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, packed in zip(batch.column("_block").to_pylist(), batch.column("_rows")):
-                found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-                for part in _parts(packed.as_py()):
-                    kinds, ids, offsets = grams(part.column("_text"), order)
-                    trusted = np.repeat(part.column("_trusted").to_numpy(zero_copy_only=False), np.diff(offsets))
-                    found.append((kinds, np.bincount(ids[trusted], minlength=len(kinds))))
-                keys, counts = _summed(found)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), number)), pa.array(keys), pa.array(counts)], names=["_block", "_g", "_n"])
+                yield _counted_batch(number, *_counts(_parts(packed.as_py()), order))
 
-    return blocks.mapInArrow(run, "_block long, _g long, _n long")
+    return blocks.mapInArrow(run, _COUNTED)
 
 
 def _last(column: str, order: int) -> Column:
@@ -157,26 +188,47 @@ def probabilities(counts: DataFrame, wanted: DataFrame, order: int) -> DataFrame
     return shorter
 
 
-def _scored(blocks: DataFrame, known: DataFrame, order: int, fields: str) -> DataFrame:
-    """Each document with the mean logarithm of its bytes' probabilities."""
+_SCORED = ["_key", "_lang", "_hash", "_trusted", "n_bytes", "perplexity"]
+
+
+def _perplexities(part: pa.RecordBatch, keys: np.ndarray, logs: np.ndarray, order: int) -> pa.RecordBatch:
+    kinds, ids, offsets = grams(part.column("_text"), order)
+    # summed text by text: a text's sum does not depend on its neighbours
+    own = logs[np.searchsorted(keys, kinds)][ids] if len(ids) else np.zeros(0)
+    sums = [own[a:b].sum() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    sizes = np.diff(offsets)
+    value = np.exp(-np.array(sums) / np.maximum(sizes, 1))
+    return pa.RecordBatch.from_arrays([*[part.column(c) for c in _SCORED[:4]], pa.array(sizes, pa.int64()), pa.array(value, pa.float64(), mask=sizes == 0)],
+                                      names=_SCORED)
+
+
+def _scored_by_model(docs: DataFrame, learned: DataFrame, order: int, fields: str) -> DataFrame:
+    """Each document with its perplexity, by a model small enough for every task."""
+    table = learned.toArrow()
+    keys, logs = table.column("_g").to_numpy(), np.log(table.column("_p").to_numpy())
+    order_of = np.argsort(keys)
+    sent = docs.sparkSession.sparkContext.broadcast((keys[order_of], logs[order_of]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = sent.value
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                yield _perplexities(part, *model, order)
+
+    return docs.mapInArrow(run, fields)
+
+
+def _scored_by_blocks(docs: DataFrame, learned: DataFrame, order: int, fields: str, block_bytes: int) -> DataFrame:
+    """The same for a model of any size: the probabilities come to the blocks that hold the n-grams."""
+    blocks = written(_blocks(docs, block_bytes), "blocks")
+    found = written(_block_grams(blocks, order), "grams", 1)
+    known = found.select("_block", "_g").join(learned, "_g")
     grouped = blocks.groupBy("_block").cogroup(known.groupBy("_block"))
-    names = ["_key", "_lang", "_hash", "_trusted", "n_bytes", "perplexity"]
 
     def run(packed: pa.Table, table: pa.Table) -> pa.Table:
         order_of = np.argsort(table.column("_g").to_numpy())
         keys, logs = table.column("_g").to_numpy()[order_of], np.log(table.column("_p").to_numpy())[order_of]
-        out = []
-        for raw in packed.column("_rows"):
-            for part in _parts(raw.as_py()):
-                kinds, ids, offsets = grams(part.column("_text"), order)
-                # reduced text by text: a text's sum does not depend on its neighbours
-                own = logs[np.searchsorted(keys, kinds)][ids] if len(ids) else np.zeros(0)
-                sums = [own[a:b].sum() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-                sizes = np.diff(offsets)
-                value = np.exp(-np.array(sums) / np.maximum(sizes, 1))
-                columns = [part.column(c) for c in names[:4]]
-                out.append(pa.table([*columns, pa.array(sizes, pa.int64()), pa.array(value, pa.float64(), mask=sizes == 0)], names=names))
-        return pa.concat_tables(out)
+        return pa.Table.from_batches([_perplexities(part, keys, logs, order) for raw in packed.column("_rows") for part in _parts(raw.as_py())])
 
     return grouped.applyInArrow(run, fields)
 
@@ -191,15 +243,16 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     good = materialize(good.filter("_q = 1").select("_key", F.lit(True).alias("_trusted")), "trusted")
     rows = docs.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
     marked = lookup_join(rows, good, ["_key"]).withColumns({"_trusted": F.coalesce("_trusted", F.lit(False)), "_hash": F.xxhash64("_text")})
-    blocks = materialize(_blocks(marked.select("_key", "_lang", "_hash", "_trusted", "_text"), block_bytes), "blocks")
-    found = materialize(_block_grams(blocks, order), "grams")
-    counted = found.groupBy("_g").agg(F.sum("_n").alias("_n"))
-    counted = materialize(counted, "counted")
+    marked = marked.select("_key", "_lang", "_hash", "_trusted", "_text")
+    counted = _task_grams(marked, order, block_bytes).groupBy("_g").agg(F.sum("_n").alias("_n"))
+    counted = written(counted, "counted")
     learned = probabilities(counted.filter("_n > 0"), counted.select("_g"), order)
-    known = found.select("_block", "_g").join(learned, "_g")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     fields = f"_key {kinds['_key']}, _lang {kinds['_lang']}, _hash long, _trusted boolean, n_bytes long, perplexity double"
-    scored = materialize(_scored(blocks, known, order, fields), "scored")
+    # a row of the model is 16 bytes, so the number of rows is its size
+    small = learned.count() <= MODEL_ROWS
+    scored = _scored_by_model(marked, learned, order, fields) if small else _scored_by_blocks(marked, learned, order, fields, block_bytes)
+    scored = written(scored, "scored")
 
     trusted = scored.filter("_trusted and perplexity is not null")
     found = F.percentile_approx("perplexity", F.array(F.lit(0.5), F.lit(quantile)), F.lit(10_000))
