@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexforge.llm.batches import mix, slices, words
-from lexforge.operators.materialize import materialize
+from lexforge.llm.batches import mix, slices, words, written
 
 SAMPLES = 128
 SAMPLE_BITS = 8
@@ -179,7 +178,7 @@ def with_edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             yield edge("last", held)
 
     fields = rows.schema["_id"].simpleString().split(":", 1)[1]
-    found = materialize(ordered.mapInArrow(run, f"_id {fields}, {_MEASURED}, _edge string, _block int, _text string"), "measured")
+    found = written(ordered.mapInArrow(run, f"_id {fields}, {_MEASURED}, _edge string, _block int, _text string"), "measured")
     # one row per range: the next range that holds rows, and after the last the first
     firsts = found.filter("_edge = 'first'").select("_block", F.col("_text").alias("_next"))
     blocks = found.filter("_edge = 'first'").select("_block")

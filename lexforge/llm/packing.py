@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexforge.llm.batches import slices
+from lexforge.llm.batches import slices, written
 from lexforge.llm.tokens import PieceEncoder
 from lexforge.operators.joins import lookup_join
 from lexforge.operators.materialize import materialize
@@ -67,7 +67,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
 
     ``ids`` are unsigned 32-bit numbers, little end first.
     """
-    table = materialize(tokenized(docs, tokenizer, key, text, end), "tokens")
+    table = written(tokenized(docs, tokenizer, key, text, end), "tokens")
     # one row per partition of the input: the table of their offsets is small, and its size is checked before it is sent
     totals = table.groupBy("_block").agg(F.sum("doc_tokens").alias("_total"))
     upto = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
