@@ -1,4 +1,5 @@
 import random
+import uuid
 from types import SimpleNamespace
 
 import pytest
@@ -203,9 +204,7 @@ def test_order_and_profile(spark):
 
 
 def _session(master, **conf):
-    folder = []
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: folder[0] if folder else None,
-                              setCheckpointDir=folder.append)
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, applicationId=f"test-{uuid.uuid4().hex}")
     return SimpleNamespace(conf=conf, sparkContext=context)
 
 
