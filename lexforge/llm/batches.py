@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 
 from lexforge.operators.materialize import materialize
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SHINGLE = 5
 
 _MASK = (1 << 64) - 1

@@ -57,8 +57,8 @@ def grams(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         held = np.zeros(len(kinds) * 256, dtype=bool)
         held[key] = True
         found = np.flatnonzero(held)
-        number = np.cumsum(held, dtype=np.int64) - 1
-        kinds, ids = kinds[found >> 8] * 256 + (found & 255), number[key]
+        number = np.cumsum(held, dtype=np.int32) - 1
+        kinds, ids = kinds[found >> 8] * 256 + (found & 255), number[key].astype(np.int64)
     if pad == 0:
         found, ids = np.unique(ids, return_inverse=True)
         kinds = found
