@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import bpe, chat, fingerprints, ngram_join, packing, passages, quality, secrets, topk, warc
+from lexforge.llm import bpe, chat, fingerprints, lines, ngram_join, packing, passages, quality, secrets, topk, warc
 from lexforge.queries.base import Query, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -94,6 +94,19 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(bpe.decode(encoded, BYTE_RANKS))
 
 
+def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digests(lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+OP13_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (SELECT doc_id, i, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+m AS (SELECT k.*, r.last IS NOT NULL AND k.doc_id < r.last AS gone FROM k LEFT JOIN r ON k.key = r.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id"""
+
+
 LLM = {
     "op1_quality": Query(op1_quality, None),
     "op2_chat": Query(op2_chat, OP2_SQL),
@@ -105,5 +118,6 @@ LLM = {
     "op8_secrets": Query(op8_secrets, None),
     "op9_top_k": Query(op9_top_k, OP9_SQL),
     "op10_bpe": Query(op10_bpe, None),
+    "op13_lines": Query(op13_lines, OP13_SQL),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
