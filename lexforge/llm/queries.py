@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import bpe, chat, fingerprints, lines, ngram_join, packing, passages, quality, secrets, topk, warc
+from lexforge.llm import bpe, chat, fingerprints, lines, ngram_join, packing, passages, periodic, quality, secrets, topk, warc
 from lexforge.queries.base import Query, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -94,6 +94,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(bpe.decode(encoded, BYTE_RANKS))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.periodic_runs(table(spark, sf_dir, "documents"), edit=periodic.periodic_tail))
+
+
 def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -118,6 +122,7 @@ LLM = {
     "op8_secrets": Query(op8_secrets, None),
     "op9_top_k": Query(op9_top_k, OP9_SQL),
     "op10_bpe": Query(op10_bpe, None),
+    "op11_periodic_runs": Query(op11_periodic_runs, None),
     "op13_lines": Query(op13_lines, OP13_SQL),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
