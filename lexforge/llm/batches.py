@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lexforge.operators.materialize import materialize
 
@@ -91,6 +92,13 @@ def written(df: DataFrame, name: str, rows: int = 1_000) -> DataFrame:
         conf.set(BATCH_SETTING, before)
 
 
+def streamed(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
+    """The rows of both tables by key, of each key those of ``left`` (_kind 0) before those of ``right`` (1); a task holds what it keeps of them, not a group."""
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = left.withColumn("_kind", F.lit(0)).unionByName(right.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+    return both.repartition(parts, on).sortWithinPartitions(on, "_kind")
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """Each name with as many underscores in front as it takes to be no column of the table."""
     taken = {c.lower() for c in df.columns}

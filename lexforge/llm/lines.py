@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexforge.llm.batches import free_names, mix, slices, written
+from lexforge.llm.batches import free_names, mix, slices, streamed, written
 from lexforge.operators.joins import lookup_join
 from lexforge.operators.materialize import materialize
 
@@ -220,13 +220,6 @@ def line_index(counts: DataFrame, shards: int, least_docs: int = LEAST_DOCS) ->
     return counts.withColumn("_shard", F.pmod("_a", F.lit(shards)).cast("int")).groupBy("_shard").applyInArrow(build, _INDEX)
 
 
-def _streamed(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """Rows of both tables by key, those of ``left`` first; a task holds what it keeps of them, not a group."""
-    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    both = left.withColumn("_kind", F.lit(0)).unionByName(right.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
-    return both.repartition(parts, on).sortWithinPartitions(on, "_kind")
-
-
 def _probed(lines: DataFrame, index: DataFrame, shards: int, least_docs: int) -> DataFrame:
     """(_block, _hits, _last): the repeated hashes of every block with their largest ids."""
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +250,7 @@ def _probed(lines: DataFrame, index: DataFrame, shards: int, least_docs: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(hits, pa.binary()), pa.array(last, pa.binary())], names=["_block", "_hits", "_last"])
 
     asked = lines.select("_block", "_id", "_keys").mapInArrow(sent, "_shard int, _block long, _keys binary")
-    return _streamed(index, asked, "_shard").mapInArrow(probe, "_block long, _hits binary, _last binary")
+    return streamed(index, asked, "_shard").mapInArrow(probe, "_block long, _hits binary, _last binary")
 
 
 def _dropped(lines: DataFrame, hits: DataFrame) -> DataFrame:
@@ -280,7 +273,7 @@ def _dropped(lines: DataFrame, hits: DataFrame) -> DataFrame:
                         out.append((row["_id"], row["_text_hash"], np.frombuffer(row["_numbers"], np.uint32)[gone].tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["_id", "_text_hash", "_gone"])
 
-    return _streamed(hits, lines, "_block").mapInArrow(run, "_id long, _text_hash long, _gone binary")
+    return streamed(hits, lines, "_block").mapInArrow(run, "_id long, _text_hash long, _gone binary")
 
 
 def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:

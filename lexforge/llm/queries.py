@@ -7,10 +7,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import bpe, chat, fingerprints, lines, ngram_join, packing, passages, periodic, quality, secrets, topk, warc
+from lexforge.llm import bpe, chat, crosstoken, fingerprints, lines, ngram_join, packing, passages, periodic, quality, secrets, topk, warc
 from lexforge.queries.base import Query, table
 
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -98,6 +100,11 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.run_digests(periodic.periodic_runs(table(spark, sf_dir, "documents"), edit=periodic.periodic_tail))
 
 
+def op12_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = crosstoken.align(table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL, digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -123,6 +130,7 @@ LLM = {
     "op9_top_k": Query(op9_top_k, OP9_SQL),
     "op10_bpe": Query(op10_bpe, None),
     "op11_periodic_runs": Query(op11_periodic_runs, None),
+    "op12_cross_tokens": Query(op12_cross_tokens, None),
     "op13_lines": Query(op13_lines, OP13_SQL),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

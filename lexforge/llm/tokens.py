@@ -23,14 +23,14 @@ _SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c
 KEPT_PIECES = 700_000
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The letter that byte-level vocabularies write for each byte: itself if it is visible, else one from U+0100 on."""
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = iter(range(0x100, 0x200))
     return [chr(b) if b in visible else chr(next(others)) for b in range(256)]
 
 
-_AS_LETTER = {b: letter for b, letter in enumerate(_byte_letters()) if chr(b) != letter}
+_AS_LETTER = {b: letter for b, letter in enumerate(byte_letters()) if chr(b) != letter}
 
 
 def _spelled(letters: str) -> str | None:
