@@ -25,11 +25,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexforge.llm.batches import free_names, mix, slices, streamed, written
 from lexforge.operators.joins import lookup_join
@@ -254,7 +252,7 @@ def _probed(lines: DataFrame, index: DataFrame, shards: int, least_docs: int) ->
 
 
 def _dropped(lines: DataFrame, hits: DataFrame) -> DataFrame:
-    """(_id, _text_hash, _gone): the numbers of the lines that go, 32 bits each, of every row that loses any."""
+    """(_id, _text_hash, _n, _gone) of every row that loses lines: how many, and a byte for each line up to the last of them, 1 if it goes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, last_of = -1, {}
         for batch in batches:
@@ -270,10 +268,14 @@ def _dropped(lines: DataFrame, hits: DataFrame) -> DataFrame:
                     hashes, of = row["_keys"], last_of.get
                     gone = [j for j, i in enumerate(range(0, len(hashes), 16)) if of(hashes[i:i + 16], own) > own]
                     if gone:
-                        out.append((row["_id"], row["_text_hash"], np.frombuffer(row["_numbers"], np.uint32)[gone].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["_id", "_text_hash", "_gone"])
+                        numbers = np.frombuffer(row["_numbers"], np.uint32)[gone]
+                        mask = np.zeros(int(numbers[-1]) + 1, np.uint8)
+                        mask[numbers] = 1
+                        out.append((row["_id"], row["_text_hash"], len(gone), mask.tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["_id", "_text_hash", "_n", "_gone"])
 
-    return streamed(hits, lines, "_block").mapInArrow(run, "_id long, _text_hash long, _gone binary")
+    return streamed(hits, lines, "_block").mapInArrow(run, "_id long, _text_hash long, _n long, _gone binary")
 
 
 def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -283,40 +285,21 @@ def without_repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "te
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = max(parts, -(-counts.count() // SHARD_KEYS))
     index = written(line_index(counts, shards, least_docs), "line_index")
-    hits = written(_probed(lines, index, shards, least_docs), "line_hits", 100)
-    gone = written(_dropped(lines, hits), "lines_gone", 200)
+    hits = written(_probed(lines, index, shards, least_docs), "line_hits", 2_000)
+    gone = written(_dropped(lines, hits), "lines_gone", 2_000)
 
-    row_id, row_null, row_hash, cuts = free_names(docs, "_row_id", "_row_null", "_row_hash", "_gone")
+    row_id, row_null, row_hash, lost, mask = free_names(docs, "_row_id", "_row_null", "_row_hash", "_lost", "_mask")
     # rows that repeat id and text lose the same lines
-    asked = gone.select(F.coalesce("_id", F.lit(0)).alias(row_id), F.col("_id").isNull().alias(row_null), F.col("_text_hash").alias(row_hash), F.col("_gone").alias(cuts))
+    asked = gone.select(F.coalesce("_id", F.lit(0)).alias(row_id), F.col("_id").isNull().alias(row_null), F.col("_text_hash").alias(row_hash),
+                        F.col("_n").alias(lost), F.col("_gone").alias(mask)).dropDuplicates([row_id, row_null, row_hash])
     own = F.col(f"`{key}`").cast("long")
     kept = docs.drop("n_lines", "n_dropped")
-    marked = lookup_join(kept.withColumns({row_id: F.coalesce(own, F.lit(0)), row_null: own.isNull(), row_hash: F.xxhash64(text)}),
-                         asked.dropDuplicates([row_id, row_null, row_hash]), [row_id, row_null, row_hash]).select(*kept.columns, cuts)
-
-    names = [*kept.columns, "n_lines", "n_dropped"]
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, marks = batch.schema.get_field_index(text), batch.schema.get_field_index(cuts)
-            for part in slices(batch, text):
-                texts = part.column(at).fill_null("")
-                n_lines = pc.add(pc.count_substring(texts, "\n").cast(pa.int64()), 1)
-                gone = part.column(marks)
-                n_dropped = pc.divide(pc.fill_null(pc.binary_length(gone), 0).cast(pa.int64()), 4)
-                columns = [c for j, c in enumerate(part.columns) if j != marks]
-                if gone.null_count < len(gone):
-                    values = texts.to_pylist()
-                    for i, mark in enumerate(gone.to_pylist()):
-                        if mark:
-                            out = set(np.frombuffer(mark, np.uint32).tolist())
-                            values[i] = "\n".join([line for j, line in enumerate(values[i].split("\n")) if j not in out])
-                    columns[at] = pa.array(values, part.schema.field(at).type)
-                else:
-                    columns[at] = texts
-                yield pa.RecordBatch.from_arrays([*columns, n_lines, n_dropped], names=names)
-
-    return marked.mapInArrow(cut, T.StructType([*kept.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]))
+    keyed = kept.withColumns({row_id: F.coalesce(own, F.lit(0)), row_null: own.isNull(), row_hash: F.xxhash64(text)})
+    marked = lookup_join(keyed, materialize(asked, "lines_asked"), [row_id, row_null, row_hash])
+    whole = F.coalesce(F.col(text), F.lit(""))
+    left = F.filter(F.split(whole, "\n", -1), lambda line, i: F.substring(F.col(mask), i + 1, F.lit(1)) != F.lit(b"\x01"))
+    return marked.withColumns({text: F.when(F.col(mask).isNull(), whole).otherwise(F.array_join(left, "\n")),
+                               "n_lines": F.size(F.split(whole, "\n", -1)).cast("long"), "n_dropped": F.coalesce(F.col(lost), F.lit(0))}).select(*kept.columns, "n_lines", "n_dropped")
 
 
 def line_digests(docs: DataFrame) -> DataFrame:
