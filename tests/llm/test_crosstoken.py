@@ -62,7 +62,7 @@ def plain(sides, rows):
 
 def rows_of():
     rnd = random.Random(12)
-    alphabets = ["ab ", "the cat sat on mats, don't. ", "éÉüß日本 한국 ", "0123 45", " \n\t", "🙂👍 a", "\u0000▁ x", "​  ́e", "<|endoftext|></s><unk> <0x41>"]
+    alphabets = ["ab ", "the cat sat on mats, don't. ", "éÉüß日本 한국 ", "0123 45", " \n\t", "🙂👍 a", "\u0000▁ x", "​  ́e", "<|endoftext|></s><unk> <0x41>", "\x85\xa0 a²³¼ªº\xad\x1c7", "".join(map(chr, range(256)))]
     rows = [(i, "".join(rnd.choice(a) for _ in range(rnd.randint(1, 60)))) for a in alphabets for i in range(12)]
     rows += [(500, "<|endoftext|> plain <s> text </s><0x0A>"), (501, None), (502, ""), (None, "the cat"), (None, None), (503, "the cat"), (503, "the cat"), (504, " "), (505, "  the"),
              (506, "a▁b"), (507, "ﬁ ½ Å"), (508, "word " * 300), (509, "日" * 50 + "\n\n\n")]
