@@ -5,7 +5,7 @@ of the partitions, one small row each, give every partition its global offset. P
 multiples of the sequence length: a document that crosses such a boundary becomes several pieces, each with its place.
 Only the last sequence of the whole table is not full.
 
-Defined cases: a null or empty text is the end token alone; the order of the stream is that of the rows in the partitions; rows are
+Defined cases: a null or empty text is the end token alone; a text that spells a special token holds that token's id; the order of the stream is that of the rows in the partitions; rows are
 treated one by one, so repeated rows and null ids give pieces of their own; an empty table gives no pieces. Of the input's
 columns only ``key`` and ``text`` are read, so others can't clash.
 """
@@ -32,17 +32,17 @@ SLICE = 4 << 20
 PIECE_FIELDS = ["start long", "length long", "doc_tokens long", "sequence_id long", "offset long", "ids binary"]
 
 
-def tokenized(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end: int = END) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", end: int = END, special: bool = True) -> DataFrame:
     """(key, block, before, doc_tokens, ids): ids as unsigned 16-bit numbers where the vocabulary allows it, else 32-bit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer)
+        encoder = PieceEncoder(tokenizer, special)
         width = _width(max(encoder.tokenizer.get_vocab_size(), end + 1))
         block, before = TaskContext.get().partitionId(), 0
         mark = np.array([end], width).tobytes()
         for batch in batches:
             for part in slices(batch, "_text", SLICE):
-                ids, offsets = encoder.encode(part.column("_text").to_pylist())
+                ids, offsets = encoder.encode(part.column("_text"))
                 raw = ids.astype(width).tobytes()
                 at = (offsets * np.dtype(width).itemsize).tolist()
                 sizes = np.diff(offsets) + 1
@@ -62,12 +62,14 @@ def _width(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", sequence: int = SEQUENCE, end: int = END) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", sequence: int = SEQUENCE, end: int = END,
+         special: bool = True) -> DataFrame:
     """One row per piece: key, start (tokens of its document before it), length, doc_tokens, sequence_id, offset, ids.
 
-    ``ids`` are unsigned 32-bit numbers, little end first.
+    ``ids`` are unsigned 32-bit numbers, little end first. Strings of special tokens in a text are those tokens, as the tokenizer's file has it, or plain text if
+    ``special`` is off.
     """
-    table = written(tokenized(docs, tokenizer, key, text, end), "tokens")
+    table = written(tokenized(docs, tokenizer, key, text, end, special), "tokens")
     # one row per partition of the input: the table of their offsets is small, and its size is checked before it is sent
     totals = table.groupBy("_block").agg(F.sum("doc_tokens").alias("_total"))
     upto = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

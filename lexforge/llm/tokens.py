@@ -1,8 +1,8 @@
-"""Token ids of a tokenizer file inside tasks: every distinct piece between spaces goes to the tokenizer once per task.
+"""Token ids of a tokenizer file inside tasks: every distinct run of letters goes to the tokenizer once per task.
 
-The tokenizer drops white space and splits at it, so the ids of a text are those of its pieces in order. A piece that is letters
-followed by other ASCII signs is split further, as the tokenizer splits it, and letters below U+0250 go to its model directly,
-lower-cased and in the model's spelling of bytes.
+The tokenizer drops white space and splits at it, so the ids of a text are those of its pieces in order. Arrow cuts the texts at spaces and finds the distinct pieces of a
+slice; a piece that is letters followed by other ASCII signs is cut further, as the tokenizer cuts it, and letters below U+0250 go to its model directly,
+lower-cased and in the model's spelling of bytes. Python sees each distinct run of letters of a slice once, and all else is done on arrays.
 """
 
 from __future__ import annotations
@@ -11,9 +11,10 @@ import os
 import unicodedata
 from array import array
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from lexforge.llm.batches import no_collection
 from lexforge.llm.bpe import gather
@@ -45,65 +46,84 @@ def _spelled(letters: str) -> str | None:
 
 
 @lru_cache(maxsize=4)
-def load_tokenizer(path: str):
-    """The tokenizer of a file; strings of its special tokens in a text are ordinary text."""
+def load_tokenizer(path: str, special: bool = True):
+    """The tokenizer of a file; strings of its special tokens in a text are these tokens as the file says, or ordinary text if ``special`` is off."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
+    found.encode_special_tokens = not special
     return found
 
 
 class _Known(dict):
-    """{piece: its place}; a piece that is looked up for the first time is encoded then."""
+    """{string: its place}; a string that is looked up for the first time is encoded then. ``plain`` says that it is letters which the model takes directly."""
 
-    def __init__(self, encode):
+    def __init__(self, tokenizer):
         super().__init__()
-        self.encode, self.ids, self.ends = encode, array("i"), array("q", [0])
+        self.tokenizer, self.tokenize = tokenizer, tokenizer.model.tokenize
+        self.ids, self.ends, self.plain = array("i"), array("q", [0]), bytearray()
 
     def __missing__(self, piece: str) -> int:
-        self.ids.extend(self.encode(piece))
-        self[piece] = place = len(self.ends) - 1
+        spelled = piece if piece.isascii() and piece.isalpha() and piece.islower() else _spelled(piece)
+        if spelled is None:
+            self.ids.extend(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+        else:
+            self.ids.extend([t.id for t in self.tokenize(spelled)])
+        self[piece] = place = len(self.plain)
         self.ends.append(len(self.ids))
+        self.plain.append(spelled is not None)
         return place
 
+    def places(self, strings: pa.Array) -> np.ndarray:
+        """The place of each string; a string that occurs again is looked up once."""
+        found = strings.dictionary_encode()
+        words = found.dictionary.to_pylist()
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))[found.indices.to_numpy()]
+
 
 class PieceEncoder:
     """Encodes texts of one task by the tokenizer of a file that lower-cases and drops white space."""
 
-    def __init__(self, path: str):
-        self.tokenizer = load_tokenizer(path)
-        self.model = self.tokenizer.model
+    def __init__(self, path: str, special: bool = True):
+        self.tokenizer = load_tokenizer(path, special)
         self.reset()
 
     def reset(self) -> None:
-        self.known = _Known(self._encode_piece)
-        self.parts: dict[str, tuple[int, ...]] = {}
-        self.signs: dict[str, tuple[int, ...]] = {}
-
-    def _encode_piece(self, piece: str) -> tuple[int, ...]:
-        letters = piece.rstrip(_SIGNS)
-        spelled = _spelled(letters)
-        if spelled is None:
-            return tuple(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        found = self.parts.get(spelled)
-        if found is None:
-            found = self.parts[spelled] = tuple([t.id for t in self.model.tokenize(spelled)])
-        if len(letters) < len(piece):
-            signs = piece[len(letters):]
-            after = self.signs.get(signs)
-            if after is None:
-                after = self.signs[signs] = tuple(self.tokenizer.encode(signs, add_special_tokens=False).ids)
-            return found + after
-        return found
+        self.known = _Known(self.tokenizer)
+
+    def _cut(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Of each piece the place of its letters and that of the signs behind them, or that of the whole piece and no signs."""
+        letters = pc.utf8_rtrim(pieces, characters=_SIGNS)
+        # capitals make no difference to letters, so they needn't be strings of their own
+        first = self.known.places(pc.if_else(pc.ascii_is_alpha(letters), pc.ascii_lower(letters), letters))
+        second = np.full(len(pieces), self.known[""])
+        ends = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset + 1:pieces.offset + 1 + len(pieces)]
+        sizes = (pc.binary_length(pieces).to_numpy() - pc.binary_length(letters).to_numpy()).astype(np.int64)
+        plain = np.frombuffer(self.known.plain, bool)[first]
+        # a few signs are a number that tells them; longer rows of signs go with their letters
+        cut = np.flatnonzero(plain & (sizes > 0) & (sizes <= 7))
+        if len(cut):
+            raw = np.frombuffer(pieces.buffers()[2], np.uint8)
+            back = np.arange(7)
+            codes = np.where(back < sizes[cut, None], raw[np.maximum(ends[cut, None] - 1 - back, 0)], 0).astype(np.int64)
+            kinds, which = np.unique((codes << (8 * back)).sum(axis=1), return_inverse=True)
+            second[cut] = np.array([self.known[k.to_bytes(7, "big").lstrip(b"\0").decode()] for k in kinds.tolist()])[which]
+        whole = np.flatnonzero((sizes > 0) & ~(plain & (sizes <= 7)))
+        if len(whole):
+            first[whole] = self.known.places(pieces.take(pa.array(whole)))
+        return first, second
 
     @no_collection()
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): offsets[i]:offsets[i+1] are the ids of text i."""
         if len(self.known) > KEPT_PIECES:
             self.reset()
-        parts = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        counts = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        places = np.fromiter(map(self.known.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=int(counts.sum()))
-        return gather(np.array(self.known.ids, np.int32), np.array(self.known.ends, np.int64), places, counts)
+        given = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string()).fill_null("")
+        lists = pc.split_pattern(pc.replace_substring(given, "\n", " "), " ")
+        counts = np.diff(lists.offsets.to_numpy())
+        words = lists.flatten().dictionary_encode()
+        first, second = self._cut(words.dictionary)
+        at = words.indices.to_numpy()
+        places = np.stack([first[at], second[at]], axis=1).ravel()
+        return gather(np.array(self.known.ids, np.int32), np.array(self.known.ends, np.int64), places, 2 * counts)

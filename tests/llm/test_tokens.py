@@ -20,7 +20,8 @@ ALPHABETS = ["ab", "a", "aA! \n", "ab's don't ", "éÉüß日本 한", string.pr
 def texts(n=150, length=60):
     rnd = random.Random(4)
     made = ["".join(rnd.choice(a) for _ in range(rnd.randint(0, length))) for a in ALPHABETS for _ in range(n)]
-    return [*made, "", "<|endoftext|> x", "wort" * 5000, "The the THE, the. the!"]
+    return [*made, "", "<|endoftext|> x", "a<|startoftext|>b <|ENDOFTEXT|>, endoftext|> <|endoftext|", "x<|endoftext|>.<|endoftext|>", "wort" * 5000,
+            "end" + "." * 9 + " ?!?!?!?! a-- b--- it's 'quoted' x's. c\u0301d. a\u0000b. \u0000", "The the THE, the. the!"]
 
 
 def tiktoken_encoding():
@@ -66,9 +67,8 @@ def test_bpe_query_columns(spark):
 
 @pytest.fixture(scope="module")
 def library():
-    found = Tokenizer.from_file(queries.WORD_TOKENIZER)
-    found.encode_special_tokens = True
-    return found
+    # as the file has it: no switch of the operator's is repeated here
+    return Tokenizer.from_file(queries.WORD_TOKENIZER)
 
 
 def test_pieces_equal_the_library(library):
@@ -79,6 +79,18 @@ def test_pieces_equal_the_library(library):
         assert ids[offsets[i]:offsets[i + 1]].tolist() == own.ids, text
 
 
+def test_special_tokens_may_be_plain_text():
+    """With the switch off, their strings are cut like any other text."""
+    plain = Tokenizer.from_file(queries.WORD_TOKENIZER)
+    given = ["<|endoftext|> a<|startoftext|>b", "a <|endoftext|>"]
+    special = [Tokenizer.from_file(queries.WORD_TOKENIZER).encode(t, add_special_tokens=False).ids for t in given]
+    assert 49407 in special[0] and 49406 in special[0]
+    plain.encode_special_tokens = True
+    ids, offsets = tokens.PieceEncoder(queries.WORD_TOKENIZER, special=False).encode(given)
+    for i, text in enumerate(given):
+        assert ids[offsets[i]:offsets[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids != special[i]
+
+
 def check_pieces(rows, given, library, sequence):
     want = {}
     for key, text in given:
