@@ -15,8 +15,8 @@ A set holds the distinct 5-word shingles of a text as 64-bit hashes. Two documen
    So no link between different components is lost, and pairs inside one are not needed.
 
 Defined cases: a null or empty text, or one of white space alone, has size 0 and links with nothing; a text of fewer words is one shingle of all of
-them; a row with a null id has no component and links with nothing; rows that repeat an id are compared by their own texts, and
-those with one text share a node; an empty table gives no rows; other columns are not read.
+them; a row with a null id has no component and links with nothing; rows that repeat an id are compared by their own texts, each in the
+component of its own text, and those with one set share a node; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -57,28 +57,37 @@ def _digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
-_ROW = "_id long, n_shingles long, _digest binary, _stripe int, _counts binary"
+_ROW = "_id long, _hash long, n_shingles long, _digest binary, _mark long, _stripe int, _counts binary"
+
+
+def _marks(digests: list[bytes | None]) -> pa.Array:
+    """The first half of each digest as a number."""
+    return pa.array([None if d is None else int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64())
+
+
+def _digests(values: np.ndarray, rows: np.ndarray) -> list[bytes | None]:
+    edges = rows.tolist()
+    return [_digest(values[a:b]) if b > a else None for a, b in zip(edges, edges[1:])]
 
 
 def _described(docs: DataFrame, size: int) -> DataFrame:
-    """A row with size and digest for each document; and from each task, the counts of its cells in stripes."""
+    """A row with size, digest and a number made of it for each document; and from each task, the counts of its cells in stripes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(CELLS, dtype=np.uint32)
-        names = ["_id", "n_shingles", "_digest", "_stripe", "_counts"]
+        names = ["_id", "_hash", "n_shingles", "_digest", "_mark", "_stripe", "_counts"]
         for batch in batches:
             for part in slices(batch, "_text"):
                 values, rows = _sets(part, size)
                 counts += np.bincount((values >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=CELLS).astype(np.uint32)
-                edges = rows.tolist()
-                digests = [_digest(values[a:b]) if b > a else None for a, b in zip(edges, edges[1:])]
+                digests = _digests(values, rows)
                 n = part.num_rows
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(np.diff(rows)), pa.array(digests, pa.binary()),
+                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_hash"), pa.array(np.diff(rows)), pa.array(digests, pa.binary()), _marks(digests),
                                                   pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names=names)
         found = [i for i in range(STRIPES) if counts[i * STRIPE:(i + 1) * STRIPE].any()]
         packed = [zlib.compress(counts[i * STRIPE:(i + 1) * STRIPE].tobytes(), 1) for i in found]
         n = len(found)
-        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
+        yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
                                           pa.array(found, pa.int32()), pa.array(packed, pa.binary())], names=names)
 
     return docs.mapInArrow(run, _ROW)
@@ -134,7 +143,7 @@ def _entries(docs: DataFrame, crowded: np.ndarray, size: int, percent: int) -> D
                 n = np.diff(rows)
                 wanted = np.where(kept, n - least_overlap(n, percent) + 1, 0)
                 mine = np.arange(len(values)) - rows[owner] < wanted[owner]
-                ids = part.column("_id").take(pa.array(owner[mine]))
+                ids = part.column("_node").take(pa.array(owner[mine]))
                 yield pa.RecordBatch.from_arrays([pa.array(values[mine].view(np.int64)), ids, pa.array(n[owner[mine]])], names=["_h", "_node", "_n"])
 
     return docs.mapInArrow(run, "_h long, _node long, _n long")
@@ -223,37 +232,62 @@ def _cross_products(cells: DataFrame, percent: int) -> DataFrame:
 
 def _verified(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose whole sets link."""
-    needed = materialize(pairs.select("a").union(pairs.select("b")).distinct().toDF("_id"), "needed")
+    needed = materialize(pairs.select("a").union(pairs.select("b")).distinct().toDF("_node"), "needed")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text"):
                 values, rows = _sets(part, size)
                 sets = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("_id"), sets], names=["_node", "_set"])
+                yield pa.RecordBatch.from_arrays([part.column("_node"), sets], names=["_node", "_set"])
 
-    sets = written(lookup_join(docs, needed, ["_id"], "inner").mapInArrow(hashed, "_node long, _set array<long>"), "sets")
+    sets = written(lookup_join(docs, needed, ["_node"], "inner").select("_node", "_text").mapInArrow(hashed, "_node long, _set array<long>"), "sets")
     with_sets = pairs.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
     both = F.size(F.array_intersect("_sa", "_sb"))
     return with_sets.filter(100 * both >= percent * (F.size("_sa") + F.size("_sb") - both)).select("a", "b").distinct()
 
 
-def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """(key, n_shingles, component_id) for every row; component_id is the smallest id that links reach."""
+def _by_their_marks(docs: DataFrame, size: int) -> DataFrame:
+    """Rows with ``_node``, the number made of their set's digest; those with an empty set go."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text"):
+                marks = _marks(_digests(*_sets(part, size)))
+                yield pa.RecordBatch.from_arrays([marks, part.column("_text")], names=["_node", "_text"]).filter(marks.is_valid())
+
+    return docs.select("_text").mapInArrow(run, "_node long, _text string")
+
+
+def _grouped(docs: DataFrame, key: str, text: str, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(_id, _hash, n_shingles, _group, component_id) for every row: rows of one group are linked, directly or by others.
+
+    A set is known by the smallest id that holds it, unless that id holds several sets: then each of these is known by its own digest.
+    """
     rows = docs.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"))
-    described = written(_described(rows, size), "described")
+    described = written(_described(rows.select("_id", F.xxhash64("_text").alias("_hash"), "_text"), size), "described")
     crowded = crowded_cells(described.filter("_stripe is not null").select("_stripe", "_counts"))
-    listed = described.filter("_stripe is null").select("_id", "n_shingles", "_digest")
-    # equal sets are one node, that of the smallest id
-    copies = listed.filter("_id is not null and _digest is not null").groupBy("_digest").agg(F.min("_id").alias("_rep"), F.count("*").alias("_k"))
+    listed = described.filter("_stripe is null").select("_id", "_hash", "n_shingles", "_digest", "_mark")
+    held = listed.filter("_id is not null and _digest is not null")
+    shared = held.groupBy("_id").agg((F.min("_digest") != F.max("_digest")).alias("_shared")).filter("_shared")
+    shared = materialize(shared, "shared_ids")
+    given = rows.filter("_id is not null").withColumn("_node", F.col("_id"))
+    if shared.isEmpty():
+        listed = listed.withColumn("_node", F.col("_id"))
+    else:
+        listed = lookup_join(listed, shared, ["_id"]).withColumn("_node", F.when(F.col("_shared"), F.col("_mark")).otherwise(F.col("_id"))).drop("_shared")
+        marked = lookup_join(given, shared, ["_id"])
+        given = written(marked.filter("_shared is null").select("_node", "_text").unionByName(_by_their_marks(marked.filter("_shared"), size)), "given", 200)
+    # equal sets are one node
+    copies = listed.filter("_id is not null and _digest is not null").groupBy("_digest").agg(
+        F.min("_node").alias("_rep"), F.min("_id").alias("_least"), F.count("*").alias("_k"))
     copies = materialize(copies.filter("_k > 1").drop("_k"), "copies")
     named = lookup_join(listed, copies, ["_digest"]).select(
-        "_id", "n_shingles", F.when(F.col("_id").isNotNull(), F.coalesce("_rep", "_id")).alias("_rep"))
+        "_id", "_hash", "n_shingles", "_node", F.when(F.col("_id").isNotNull(), F.coalesce("_rep", "_node")).alias("_rep"),
+        F.when(F.col("_id").isNotNull(), F.coalesce("_least", "_id")).alias("_least"))
     named = materialize(named, "named")
 
-    given = rows.filter("_id is not null")
     cells = written(_shared(_entries(given, crowded, size, percent)), "cells", 4_000)
-    renamed = named.filter("_id <> _rep").groupBy(F.col("_id").alias("_node")).agg(F.min("_rep").alias("_rep"))
+    renamed = named.filter("n_shingles > 0 and _node <> _rep").select("_node", "_rep").distinct()
     cells = lookup_join(cells, renamed, ["_node"]).select("_h", F.coalesce("_rep", "_node").alias("_node"), "_n").distinct()
     cells = materialize(cells, "cells")
     cells = materialize(cells.join(cells.groupBy("_node").agg(F.count("*").alias("_s")), "_node"), "cells")
@@ -271,8 +305,21 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
         labels = components(links)
         labelled = lookup_join(cells, labels.withColumnRenamed("node", "_node"), ["_node"]).withColumn("_c", F.coalesce("component", "_node")).drop("component")
         labelled = materialize(labelled, "labelled") if turn < STAR_ROUNDS else labelled
-    result = lookup_join(named, labels.toDF("_rep", "_component"), ["_rep"])
-    return result.select(F.col("_id").alias(key), "n_shingles", F.coalesce("_component", "_rep").alias("component_id"))
+    labels = labels.toDF("_rep", "_component")
+    if shared.isEmpty():
+        labels = labels.withColumn("_first", F.col("_component"))
+    else:
+        # the smallest id of a component is that of one of its sets, and no longer the smallest node
+        least = labels.join(named.select("_rep", "_least").distinct(), "_rep").groupBy("_component").agg(F.min("_least").alias("_first"))
+        labels = materialize(labels.join(least, "_component").select("_rep", "_component", "_first"), "labels")
+    of_set = F.when(F.col("n_shingles") > 0, F.coalesce("_component", "_rep"))
+    return lookup_join(named, labels, ["_rep"]).select("_id", "_hash", "n_shingles", of_set.alias("_group"),
+                                                        F.when(F.col("n_shingles") > 0, F.coalesce("_first", "_least")).otherwise(F.col("_id")).alias("component_id"))
+
+
+def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(key, n_shingles, component_id) for every row; component_id is the smallest id that links reach."""
+    return _grouped(docs, key, text, size, percent).select(F.col("_id").alias(key), "n_shingles", "component_id")
 
 
 def _of_mixed_columns(labelled: DataFrame) -> DataFrame:
@@ -282,18 +329,30 @@ def _of_mixed_columns(labelled: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of the table whose id is the smallest of its component, each id once; rows with a null id all stay."""
-    found = similar_documents(docs, key, text).select(F.col(key).alias("_id"), "component_id")
-    gone = materialize(found.filter("_id <> component_id").select("_id").distinct(), "gone")
-    kept = without(docs, key, gone)
-    twice = materialize(found.groupBy("_id").agg(F.count("*").alias("_k")).filter("_k > 1 and _id is not null").select("_id"), "twice")
+    """One row of each group of linked rows: that of the smallest id, and of its texts in the group the one with the smallest hash.
+
+    Rows are told apart by id and text, so a text goes only if a linked one stays. Of rows that repeat both one stays; rows with a null id all stay.
+    """
+    found = materialize(_grouped(docs, key, text).filter("_id is not null").select("_id", "_hash", "_group"), "grouped")
+    linked = found.filter("_group is not null")
+    kept = linked.groupBy("_group").agg(F.min(F.struct("_id", "_hash")).alias("_kept"), F.count("*").alias("_n")).filter("_n > 1").select("_group", "_kept")
+    gone = lookup_join(linked, materialize(kept, "kept"), ["_group"], "inner").filter(F.struct("_id", "_hash") != F.col("_kept")).select("_id", "_hash").distinct()
+    twice = found.groupBy("_id", "_hash").agg(F.count("*").alias("_k")).filter("_k > 1").select("_id", "_hash")
+    left = without(docs, key, text, materialize(gone, "gone"))
+    twice = materialize(twice, "twice")
     if twice.isEmpty():
-        return kept
-    again = kept.join(twice, kept[key] == twice["_id"], "left_semi").dropDuplicates([key])
-    return without(kept, key, twice).unionByName(again)
+        return left
+    listed = F.broadcast(twice) if fits_broadcast(twice) else twice
+    again = left.join(listed, _same_row(left, key, text, listed), "left_semi").dropDuplicates([key, text])
+    return without(left, key, text, twice).unionByName(again)
+
+
+def _same_row(docs: DataFrame, key: str, text: str, listed: DataFrame) -> Column:
+    # the hash of a null is a number, and ids that are null equal none
+    return (docs[key].cast("long") == listed["_id"]) & (F.xxhash64(docs[text]) == listed["_hash"])
 
 
-def without(docs: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """The rows whose id is not in the table ``ids`` (_id), which is sent to the tasks if its measured size allows it."""
-    listed = F.broadcast(ids) if fits_broadcast(ids) else ids
-    return docs.join(listed, docs[key] == listed["_id"], "left_anti")
+def without(docs: DataFrame, key: str, text: str, rows: DataFrame) -> DataFrame:
+    """The rows that are not in the table ``rows`` (_id, _hash of the text), which is sent to the tasks if its measured size allows it."""
+    listed = F.broadcast(rows) if fits_broadcast(rows) else rows
+    return docs.join(listed, _same_row(docs, key, text, listed), "left_anti")

@@ -77,6 +77,48 @@ def test_defined_cases(spark):
     assert run(spark, given) == brute(given)
 
 
+def shared_ids(seed):
+    """Texts, near copies of them and their copies, under ids that several of them share."""
+    rnd = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(300)]
+    bases = [[rnd.choice(vocabulary) for _ in range(rnd.randint(5, 90))] for _ in range(8)]
+    texts = [" ".join(edited(rnd.choice(bases), rnd.choice([0, 0.01, 0.03]), rnd, vocabulary)) for _ in range(60)] + ["", None, "one two", " "]
+    return [(rnd.choice([None, *range(-6, 25)]), rnd.choice(texts)) for _ in range(90)]
+
+
+@pytest.mark.parametrize("seed", [0, 3])
+def test_ids_shared_by_different_texts(spark, seed):
+    rows = shared_ids(seed)
+    assert run(spark, rows) == brute(rows)
+
+
+def test_a_link_of_the_second_text_of_an_id(spark):
+    first, second = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, first), (4, first), (4, second), (7, second + " more")]
+    assert run(spark, rows) == [(1, 56, 1), (4, 56, 1), (4, 56, 4), (7, 57, 4)]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, kept)) == [(1, first), (4, second)]
+
+
+@pytest.mark.parametrize("seed", [0])
+def test_no_text_goes_unless_a_linked_one_stays(spark, seed):
+    rows = shared_ids(10 + seed)
+    kept = [tuple(r) for r in ngram_join.one_of_each(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()]
+    # all rows as brute-force vertices of their own, numbered so that the place tells the row
+    whole = [(i, t if k is not None else None) for i, (k, t) in enumerate(rows)]
+    component = {i: c for i, _, c in brute(whole)}
+    empty = {i for i, n, _ in brute(whole) if n == 0}
+    left = set(kept)
+    assert sum(r[0] is None for r in kept) == sum(r[0] is None for r in rows)
+    for i, row in enumerate(rows):
+        if row[0] is not None:
+            group = {rows[j] for j, c in component.items() if c == component[i]}
+            assert len(group & left) == 1 and min((r[0] for r in group)) == next(iter(group & left))[0], row
+            assert i not in empty or row in left
+    own = [r for r in kept if r[0] is not None]
+    assert len(own) == len(set(own))
+
+
 def test_empty_table_and_other_columns(spark):
     assert run(spark, []) == []
     df = spark.createDataFrame([(1, "a b c d e f", 5, "x"), (2, "a b c d e f", 6, "y")], "doc_id long, text string, _h long, component_id string")
