@@ -57,6 +57,13 @@ def _middle(word: Column, reading: Column, symbol: str) -> Column:
     return F.when(fits, F.substr(reading, F.char_length(head) + 1, inner)).otherwise(reading)
 
 
+def first_takes_all(chars: Column, known: Column, word: Column, reading: Column, symbol: str) -> Column:
+    """A reading per character: the first symbol has all that the plain characters at both ends leave, the others nothing."""
+    first = F.array_position(F.transform(chars, lambda c: F.map_contains_key(known, c)), F.lit(True)).cast("int")
+    blank = F.lit("")
+    return F.concat(F.array_repeat(blank, first - 1), F.array(_middle(word, reading, symbol)), F.array_repeat(blank, F.size(chars) - first))
+
+
 def align_readings(words: DataFrame, candidates: DataFrame, word: str, reading: str, out: str = "furigana",
                    symbol: str = KANJI) -> DataFrame:
     """(word, furigana) for the words that hold symbols; furigana is an array of (kanji, reading).
@@ -77,15 +84,7 @@ def align_readings(words: DataFrame, candidates: DataFrame, word: str, reading:
     choices = F.transform(
         "_chars", lambda c: F.coalesce(F.try_element_at(F.col("_known"), c), F.array(to_hiragana(c))))
     split = known.withColumn("_chars", characters(F.col(word))).withColumn("_path", _split_reading(choices, F.col(reading)))
-    size = F.size("_chars")
-    first = F.array_position(F.transform("_chars", lambda c: F.map_contains_key("_known", c)), F.lit(True)).cast("int")
-    blank = F.lit("")
-    fallback = F.concat(
-        F.array_repeat(blank, first - 1),
-        F.array(_middle(F.col(word), F.col(reading), symbol)),
-        F.array_repeat(blank, size - first),
-    )
-    path = F.coalesce(F.col("_path"), fallback)
+    path = F.coalesce(F.col("_path"), first_takes_all(F.col("_chars"), F.col("_known"), F.col(word), F.col(reading), symbol))
     paired = F.filter(
         F.transform(
             F.arrays_zip(F.col("_chars").alias("kanji"), path.alias("reading")),

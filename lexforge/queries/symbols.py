@@ -161,12 +161,18 @@ QUERIES = {
     "letter_sets": Query(letter_sets, f"""WITH {TERMS} SELECT term, n,
         array_to_string(list_filter(string_split(term, ''), lambda x, i: list_position(string_split(term, ''), x) = i), '') AS letters,
         regexp_matches(term, '[à-ÿ]') AS accented FROM terms"""),
-    "base_forms": Query(base_forms, f"""WITH {TERMS} SELECT a.term, a.n, coalesce(b.term, a.term) AS "baseForm"
-        FROM terms AS a LEFT JOIN terms AS b ON ends_with(a.term, 's') AND b.term = a.term[:-2]"""),
+    # a surface and its lemma meet as rows of one key
+    "base_forms": Query(base_forms, f"""WITH {TERMS}, keyed AS (
+            SELECT term AS k, NULL AS term, NULL AS n FROM terms
+            UNION ALL SELECT CASE WHEN ends_with(term, 's') THEN term[:-2] ELSE term END, term, n FROM terms
+        ), known AS (SELECT *, bool_or(term IS NULL) OVER (PARTITION BY k) AS found FROM keyed)
+        SELECT term, n, CASE WHEN found THEN k ELSE term END AS "baseForm" FROM known WHERE term IS NOT NULL"""),
     "alignment": Query(alignment, _ALIGN_SQL),
-    "spelled_by_reading": Query(spelled_by_reading, f"""WITH {TERMS}, words AS (
-            SELECT term, translate(term, 'éèêàçñöüäßáíóú', 'eeeacnouasaiou') AS plain FROM terms)
-        SELECT w.term, CASE WHEN t.term IS NOT NULL OR NOT regexp_matches(w.term, '[^a-z]') THEN w.term END AS original,
-            CASE WHEN regexp_matches(w.term, '[^a-z]') THEN t.term ELSE w.term END AS hiragana
-        FROM words AS w LEFT JOIN terms AS t ON t.term = w.plain"""),
+    "spelled_by_reading": Query(spelled_by_reading, f"""WITH {TERMS}, keyed AS (
+            SELECT term AS k, NULL AS term FROM terms
+            UNION ALL SELECT translate(term, 'éèêàçñöüäßáíóú', 'eeeacnouasaiou'), term FROM terms
+        ), known AS (SELECT *, bool_or(term IS NULL) OVER (PARTITION BY k) AS found FROM keyed)
+        SELECT term, CASE WHEN found OR NOT regexp_matches(term, '[^a-z]') THEN term END AS original,
+            CASE WHEN NOT regexp_matches(term, '[^a-z]') THEN term WHEN found THEN k END AS hiragana
+        FROM known WHERE term IS NOT NULL"""),
 }

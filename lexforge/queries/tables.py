@@ -90,23 +90,22 @@ _VOCABULARY_SQL = f"""WITH {TOKENS}, counts AS (
     SELECT t[1] AS head, translate(t[1], '{CONSONANTS}', '{SPELLED}') AS reading,
         array_to_string(t[2:], '|') AS translations
     FROM turns WHERE len(t) > 0 QUALIFY row_number() OVER (PARTITION BY t[1] ORDER BY conv_id, turn) = 1
+), keyed AS (
+    SELECT *, CASE WHEN ends_with(word, 's') THEN word[:-2] ELSE word END AS k, FALSE AS lemma FROM ranked
+    UNION ALL BY NAME SELECT word AS k, TRUE AS lemma FROM counts
+), based AS (SELECT *, CASE WHEN bool_or(lemma) OVER (PARTITION BY k) THEN k ELSE word END AS base FROM keyed
 ), spelled AS (
-    SELECT r.*, coalesce(b.word, r.word) AS base, translations, CASE WHEN r.marked THEN reading ELSE r.word END AS spoken, reading
-    FROM ranked AS r LEFT JOIN dictionary ON head = r.word
-    LEFT JOIN counts AS b ON ends_with(r.word, 's') AND b.word = r.word[:-2]
-), spots AS (
-    SELECT word, unnest(string_split(word, '')) AS c, generate_subscripts(string_split(word, ''), 1) AS pos
-    FROM spelled WHERE marked AND reading IS NOT NULL
-), furigana AS (
-    SELECT word, string_agg(c || '=' || translate(c, '{CONSONANTS}', '{SPELLED}'), '|' ORDER BY pos) AS f
-    FROM spots WHERE regexp_matches(c, '{CONSONANT}') GROUP BY word
+    SELECT r.*, translations, CASE WHEN r.marked THEN reading ELSE r.word END AS spoken, reading,
+        CASE WHEN r.marked AND reading IS NOT NULL THEN array_to_string(list_transform(list_filter(string_split(r.word, ''), lambda c: regexp_matches(c, '{CONSONANT}')),
+            lambda c: c || '=' || translate(c, '{CONSONANTS}', '{SPELLED}')), '|') END AS f
+    FROM based AS r LEFT JOIN dictionary ON head = r.word WHERE NOT r.lemma
 )
 SELECT s.word, internet AS "internetOcurrences", novel AS "novelOcurrences", subtitles AS "subtitlesOcurrences", ir AS "internetRelative",
     vr AS "novelRelative", sr AS "subtitlesRelative", (ir + vr + sr) / 3.0E0 AS "averageRelative",
     "internetRank", "novelsRank", "subtitlesRank", rank, "totalOcurrences", base AS "baseForm", translations,
     CASE WHEN spoken IS NOT NULL THEN s.word END AS original, translate(spoken, '{KATAKANA}', '{HIRAGANA}') AS hiragana,
     translate(spoken, '{HIRAGANA}', '{KATAKANA}') AS katakana, {_romaji_sql('spoken')} AS romaji, coalesce(f, '') AS furigana
-FROM spelled AS s LEFT JOIN furigana AS f ON f.word = s.word"""
+FROM spelled AS s"""
 
 # Documents of any other language, or of none, are news.
 CORPORA = {"de": "ao", "en": "tw", "es": "wk", "fr": "news"}
