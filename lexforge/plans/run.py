@@ -12,15 +12,20 @@ from pyspark.sql import functions as F
 
 from lexforge import __version__
 from lexforge.operators.batches import entry_batches
+from lexforge.operators.closure import closure
+from lexforge.operators.inverted import posting_lists
 from lexforge.operators.layout import more_than, order_by_rank
+from lexforge.operators.matching import texts_of_words
 from lexforge.operators.materialize import materialize, own_work_tables
 from lexforge.operators.profile import profile
 from lexforge.plans.crossing import symbols_per_word, symbols_with_words, words_per_symbol, words_with_symbols
 from lexforge.plans.exports import COMMON_WORD, SUMMARY_WORD, summarize_symbols, summarize_words, symbol_entries, word_entries
 from lexforge.plans.frequencies import compile_frequencies
+from lexforge.plans.inflection import japanese_endings
 from lexforge.plans.master import symbol_master
 from lexforge.plans.meanings import combine_meanings
 from lexforge.plans.readings import combine_readings, dictionary_readings, infer_readings, reading_candidates, reading_sums
+from lexforge.plans.sounds import japanese_changes
 from lexforge.plans.vocabulary import compile_dictionary, compile_vocabulary
 from lexforge.sources import readers, sinks
 from lexforge.sources.cache import cached, source_fingerprint
@@ -48,6 +53,10 @@ class RunOptions:
     word_table: str = "words"
     symbol_table: str = "symbols"
     report: bool = False
+    #: readings split over symbols with sound changes, base forms by endings where no lemmas are given, and the entry of the base form for words without one
+    sound_changes: bool = False
+    deinflect: bool = False
+    second_chance: bool = False
 
 
 class _Stages:
@@ -98,18 +107,24 @@ def compile_all(spark: SparkSession, paths: SourcePaths, options: RunOptions | N
                    after=["levels", "kanjidic", "kanji-alive", "tanos"], options=o.use_tanos)
     lemmas = spark.read.schema("surface string, lemma string").json(paths.lemmas) if paths.lemmas else None
     words = stage("words", lambda: readers.word_frequencies(spark, paths.word_frequencies), [paths.word_frequencies])
-    vocabulary = stage("vocabulary", lambda: compile_vocabulary(words, dictionary, reading_candidates(listed), lemmas),
-                       [paths.lemmas] if paths.lemmas else [], ["words", "dictionary", "dictionary-readings"])
+    vocabulary = stage("vocabulary", lambda: compile_vocabulary(
+        words, dictionary, reading_candidates(listed), lemmas, changes=japanese_changes() if o.sound_changes else None,
+        endings=japanese_endings() if o.deinflect else None, second_chance=o.second_chance),
+        [paths.lemmas] if paths.lemmas else [], ["words", "dictionary", "dictionary-readings"], (o.sound_changes, o.deinflect, o.second_chance))
     sums = stage("reading-sums", lambda: reading_sums(vocabulary), after=["vocabulary"])
     readings = stage("readings", lambda: combine_readings(listed, sums), after=["dictionary-readings", "reading-sums"])
     parts = readers.decompositions(readers.text_lines(spark, paths.decompositions))
     symbols = stage("symbols", lambda: symbol_master(
         levels, kanjidic, kanji_alive, parts, frequencies, meanings, sums, readings, o.keep_unread), [paths.decompositions],
         ["levels", "kanjidic", "kanji-alive", "frequencies", "meanings", "reading-sums", "readings"], o.keep_unread)
+    lists = readers.two_fields(spark, paths.component_lists)
+    held = stage("component-pairs", lambda: readers.component_pairs(lists), [paths.component_lists])
     tables = {
+        "component_pairs": held, "component_index": posting_lists(held, "fKanji", "component"),
+        "all_components": stage("all-components", lambda: closure(held, "fKanji", "component"), after=["component-pairs"]),
         "levels": levels, "kanjidic": kanjidic, "kanji_alive": kanji_alive, "tanos": tanos,
         "dictionary": dictionary, "frequencies": frequencies, "meanings": meanings,
-        "component_lists": readers.two_fields(spark, paths.component_lists), "decompositions": parts,
+        "component_lists": lists, "decompositions": parts,
         "vocabulary": vocabulary, "inferred_readings": infer_readings(sums),
         "dictionary_readings": listed, "readings": readings,
         "symbols": order_by_rank(symbols, "rank", "kanji"),
@@ -132,6 +147,9 @@ def compile_all(spark: SparkSession, paths: SourcePaths, options: RunOptions | N
         }
     if paths.sentences:
         tables["sentences"] = readers.sentences(spark, paths.sentences)
+        tables["word_sentences"] = stage("word-sentences", lambda: texts_of_words(
+            tables["sentences"].groupBy("firstId").agg(F.min("jpSentence").alias("jpSentence")), "firstId", "jpSentence", vocabulary, "word", "sentences"),
+            [paths.sentences], ["vocabulary"])
     if paths.wiki_radicals:
         tables["wiki_radicals"] = readers.json_lines(spark, paths.wiki_radicals)
     return tables

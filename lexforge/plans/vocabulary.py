@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.functions.kana import scripts, to_hiragana
 from lexforge.functions.symbols import KANJI, has_symbol
+from lexforge.operators.cascade import cascade_join
 from lexforge.operators.joins import lookup_join
 from lexforge.operators.layout import keep
+from lexforge.operators.materialize import materialize
 from lexforge.operators.nesting import first_by, merged_lists
 from lexforge.operators.ranking import dense_ranks
 from lexforge.plans.alignment import align_readings
+from lexforge.plans.inflection import deinflect
+from lexforge.plans.sounds import SoundChange, align_by_cost
 from lexforge.sources.schemas import WORD_COUNTS, WORD_MASTER
 
 WORD_RANKS = {
@@ -60,9 +66,13 @@ def with_scripts(words: DataFrame, reading: str, word: str = "word", symbol: str
 
 
 def compile_vocabulary(words: DataFrame, dictionary: DataFrame, candidates: DataFrame,
-                       lemmas: DataFrame | None = None, symbol: str = KANJI) -> DataFrame:
+                       lemmas: DataFrame | None = None, symbol: str = KANJI, changes: Sequence[SoundChange] | None = None,
+                       endings: Sequence[tuple[str, str]] | None = None, second_chance: bool = False) -> DataFrame:
     """Compile the word table.
 
+    With ``changes``, readings are split over symbols by the cheapest sound changes. With ``endings`` and without lemmas, base forms are found by rewriting endings until the
+    dictionary knows the form. With ``second_chance``, words that the dictionary doesn't hold get the entry of their base form.
+
     ``words`` holds one row per word with numeric counts and shares, ``dictionary`` one row per
     headword, ``candidates`` the possible readings per symbol as (symbol, readings). All three are read
     more than once and should be written tables. The result is not sorted; sort it where it is
@@ -70,13 +80,23 @@ def compile_vocabulary(words: DataFrame, dictionary: DataFrame, candidates: Data
     """
     ranked = dense_ranks(words, WORD_RANKS, written=True)
     totals = word_totals(ranked, WORD_COUNTS)
-    looked_up = totals.join(dictionary, totals["word"] == dictionary["edictWord"], "left").drop("edictWord")
-    based = with_base_forms(looked_up, lemmas)
-    spelled = with_scripts(based, "reading", symbol=symbol)
+    if lemmas is None and endings is not None:
+        lemmas = materialize(deinflect(words, "word", dictionary, "edictWord", endings).select(F.col("word").alias("surface"), F.col("baseForm").alias("lemma")), "lemmas")
+    if second_chance:
+        based = cascade_join(with_base_forms(totals, lemmas), dictionary, ["word", "baseForm"], "edictWord").withColumn("_own", F.col("hit") == 0)
+    else:
+        looked_up = totals.join(dictionary, totals["word"] == dictionary["edictWord"], "left").drop("edictWord")
+        based = with_base_forms(looked_up, lemmas)
+    # the reading of a base form is not the word's
+    own = F.when(F.col("_own"), F.col("reading")) if second_chance else F.col("reading")
+    spelled = with_scripts(based.withColumn("reading", own), "reading", symbol=symbol)
     # from the words again, not from the ranked table, whose joins would run twice
     known = dictionary.filter(F.col("reading").isNotNull()).select("edictWord", to_hiragana(F.col("reading")).alias("spoken"))
     spoken = words.select("word").join(known, F.col("word") == F.col("edictWord")).drop("edictWord")
-    aligned = align_readings(spoken, candidates, "word", "spoken", symbol=symbol)
+    if changes is None:
+        aligned = align_readings(spoken, candidates, "word", "spoken", symbol=symbol)
+    else:
+        aligned = align_by_cost(spoken, candidates, "word", "spoken", changes, symbol=symbol)
     renamed = aligned.select(F.col("word").alias("_w"), "furigana")
     joined = spelled.join(renamed, spelled["word"] == renamed["_w"], "left").withColumn(
         "furigana", F.coalesce("furigana", F.array().cast("array<struct<kanji:string,reading:string>>"))

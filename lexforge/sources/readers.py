@@ -85,6 +85,12 @@ def two_fields(spark: SparkSession, path: str, names: tuple[str, str] = ("fKanji
     return lines.select(*[strip(F.col(n)).alias(n) for n in names])
 
 
+def component_pairs(lists: DataFrame, key: str = "fKanji", listed: str = "ffragments", component: str = "component") -> DataFrame:
+    """(key, component) of every component in a list separated by spaces."""
+    parts = lists.select(key, F.explode(F.split(F.col(listed), " +")).alias(component))
+    return parts.filter(F.col(component) != "").distinct()
+
+
 def text_lines(spark: SparkSession, path: str, place: str | None = None) -> DataFrame:
     """(value) per line. ``place`` adds a column that sorts as the lines do in their files."""
     lines = spark.read.text(path)

@@ -11,6 +11,8 @@ from lexforge.plans import alignment, crossing, exports, meanings, readings, voc
 from lexforge.__main__ import main
 from lexforge.operators.materialize import work_dir
 from lexforge.plans.run import RunOptions, compile_all, run
+from lexforge.plans.inflection import japanese_endings
+from lexforge.plans.sounds import japanese_changes as vocabulary_changes
 from lexforge.sources import readers, schemas
 
 
@@ -247,7 +249,7 @@ def test_a_changed_source_is_seen_where_it_is_used(spark, tmp_path):
     made, _ = renewed(append(next(iter(paths.symbol_frequencies.values())), "新,5,0.1"))
     assert made == {"frequencies", "symbols", "symbols-with-words", "words-with-symbols"}
     made, _ = renewed(lambda: None)
-    assert not made and len(stages) == 15
+    assert not made and len(stages) == 18
 
 
 def test_options_of_the_run(spark, tmp_path):
@@ -281,3 +283,24 @@ def test_audit(spark, tmp_path):
     assert tuple(got["bad"]) == ("bad", 2, 1, 0)
     assert tuple(got["empty"]) == ("empty", 0, 0, 0)
     assert tuple(got["other"]) == ("other", 2, 0, 1)
+
+
+def test_components_and_sentences(tables):
+    assert {tuple(r) for r in tables["component_pairs"].collect()} == {("愛", c) for c in "冖爪心夂"} | {("理", c) for c in "王里"}
+    assert {(r.component, tuple(r["keys"])) for r in tables["component_index"].collect()} == {(c, ("愛",)) for c in "冖爪心夂"} | {(c, ("理",)) for c in "王里"}
+    assert {r.depth for r in tables["all_components"].collect()} == {1}
+    assert [(r.word, r.sentences) for r in tables["word_sentences"].collect()] == [("愛", ["1"])]
+
+
+def test_word_table_with_changes_and_endings(spark):
+    """A compound with a voiced sound, an inflected word, and the entry of its base form."""
+    numbers = ("0",) * 7
+    words = readers.numeric_word_frequencies(spark.createDataFrame([(w, *numbers) for w in ("手紙", "食べました", "猫")], schemas.WORD_FREQUENCY))
+    entries = spark.createDataFrame([("手紙", "てがみ", ["letter"]), ("食べる", "たべる", ["to eat"])], "edictWord string, reading string, translations array<string>")
+    candidates = spark.createDataFrame([("手", ["て"]), ("紙", ["かみ"]), ("食", ["た"])], "symbol string, readings array<string>")
+    plain = by(vocabulary.compile_vocabulary(words, entries, candidates), "word")
+    assert pairs(plain["手紙"].furigana) == [("手", "てがみ"), ("紙", "")] and plain["食べました"].baseForm == "食べました" and plain["食べました"].translations is None
+    rows = by(vocabulary.compile_vocabulary(words, entries, candidates, changes=vocabulary_changes(), endings=japanese_endings(), second_chance=True), "word")
+    assert pairs(rows["手紙"].furigana) == [("手", "て"), ("紙", "がみ")] and rows["手紙"].translations == ["letter"]
+    assert rows["食べました"].baseForm == "食べる" and rows["食べました"].translations == ["to eat"] and rows["食べました"].transliterations is None
+    assert rows["猫"].baseForm == "猫" and rows["猫"].translations is None and set(plain["猫"].asDict()) == set(rows["猫"].asDict())
