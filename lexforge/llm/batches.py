@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.operators.materialize import materialize
+from lexforge.operators.materialize import work_path
 
 SLICE_BYTES = 1 << 19
 SHINGLE = 5
@@ -83,13 +83,19 @@ BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 def written(df: DataFrame, name: str, rows: int = 1_000) -> DataFrame:
     """Write a table with Python stages in it, handing them ``rows`` rows at a time: a batch of long texts stays small."""
+    return saved(df, work_path(df.sparkSession, name), rows)
+
+
+def saved(df: DataFrame, path: str, rows: int = 1_000) -> DataFrame:
+    """The same to a path that was named before, so that the table outlives the work tables it is made from."""
     conf = df.sparkSession.conf
     before = conf.get(BATCH_SETTING)
     conf.set(BATCH_SETTING, str(rows))
     try:
-        return materialize(df, name)
+        df.write.parquet(path)
     finally:
         conf.set(BATCH_SETTING, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def streamed(left: DataFrame, right: DataFrame, on: str) -> DataFrame:

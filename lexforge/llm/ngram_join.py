@@ -30,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.llm.batches import SHINGLE, distinct_sorted, row_numbers, shingles, slices, words, written
+from lexforge.llm.batches import SHINGLE, distinct_sorted, row_numbers, saved, shingles, slices, words, written
 from lexforge.llm.components import components
 from lexforge.operators.joins import fits_broadcast, lookup_join
-from lexforge.operators.materialize import materialize
+from lexforge.operators.materialize import materialize, own_work_tables, work_path
 
 PERCENT = 75
 CELL_BITS = 20
@@ -259,6 +259,13 @@ def _by_their_marks(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, key: str, text: str, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The groups of linked rows as a written table; the work tables it is made from are deleted."""
+    path = work_path(docs.sparkSession, "grouped")
+    with own_work_tables(docs.sparkSession):
+        return saved(_linked(docs, key, text, size, percent), path)
+
+
+def _linked(docs: DataFrame, key: str, text: str, size: int, percent: int) -> DataFrame:
     """(_id, _hash, n_shingles, _group, component_id) for every row: rows of one group are linked, directly or by others.
 
     A set is known by the smallest id that holds it, unless that id holds several sets: then each of these is known by its own digest.
@@ -333,7 +340,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     Rows are told apart by id and text, so a text goes only if a linked one stays. Of rows that repeat both one stays; rows with a null id all stay.
     """
-    found = materialize(_grouped(docs, key, text).filter("_id is not null").select("_id", "_hash", "_group"), "grouped")
+    found = _grouped(docs, key, text).filter("_id is not null").select("_id", "_hash", "_group")
     linked = found.filter("_group is not null")
     kept = linked.groupBy("_group").agg(F.min(F.struct("_id", "_hash")).alias("_kept"), F.count("*").alias("_n")).filter("_n > 1").select("_group", "_kept")
     gone = lookup_join(linked, materialize(kept, "kept"), ["_group"], "inner").filter(F.struct("_id", "_hash") != F.col("_kept")).select("_id", "_hash").distinct()
