@@ -9,6 +9,7 @@ from lexforge.operators.cascade import cascade_join
 from lexforge.operators.matching import texts_of_words
 from lexforge.operators.materialize import materialize
 from lexforge.plans.inflection import deinflect
+from lexforge.plans.learned import learn_readings
 from lexforge.plans.sounds import FIRST, LAST, SoundChange, align_by_cost
 from lexforge.queries.base import PART_ROWS, TERMS, Query, table, term_counts
 from lexforge.queries.symbols import CONSONANT, _choices, _spelled
@@ -101,6 +102,44 @@ def second_chance(spark, sf_dir):
     return cascade_join(words, materialize(first, "said"), ["term", "baseForm"], "head").join(families, "baseForm")
 
 
+ROUNDS = 2
+
+
+def learned_readings(spark, sf_dir):
+    """What the consonants of the terms are read like, after some rounds of learning; the reading puts an a after some of them and drops each h."""
+    words = term_counts(spark, sf_dir).withColumn("reading", F.regexp_replace(F.replace("term", F.lit("h"), F.lit("")), "([bdgkpt])", "$1a"))
+    found = learn_readings(materialize(words, "spelled"), "term", "reading", "n", CONSONANT, longest=2, rounds=ROUNDS, tolerance=-1.0)
+    return found.select("symbol", "part", F.round("share", 6).alias("share"))
+
+
+def _round_sql(i: int) -> str:
+    known = "parts" if i == 0 else f"(SELECT p.*, share FROM parts AS p JOIN shares{i - 1} USING (symbol, part))"
+    score = "0.0E0" if i == 0 else "sum(ln(share))"
+    return f"""scores{i} AS (SELECT term, path, {score} AS score FROM {known} GROUP BY term, path
+), risen{i} AS (SELECT term, path, exp(score - max(score) OVER (PARTITION BY term)) AS w FROM scores{i}
+), weights{i} AS (SELECT term, path, w / sum(w) OVER (PARTITION BY term) AS w FROM risen{i}
+), counts{i} AS (SELECT symbol, part, sum(n * w) AS c FROM parts JOIN weights{i} USING (term, path) GROUP BY symbol, part
+), shares{i} AS (SELECT symbol, part, c / sum(c) OVER (PARTITION BY symbol) AS share FROM counts{i} WHERE c > 1e-300)"""
+
+
+_LEARNED_SQL = f"""WITH RECURSIVE {TERMS}, spelled AS (
+    SELECT term, n, regexp_replace(replace(term, 'h', ''), '([bdgkpt])', '\\1a', 'g') AS reading FROM terms WHERE regexp_matches(term, '{CONSONANT}')
+), walk AS (
+    SELECT term, n, reading, 0 AS pos, 0 AS used, []::VARCHAR[] AS path FROM spelled
+    UNION ALL
+    SELECT term, n, reading, pos + 1, used + len(o.r), list_append(path, o.r)
+    FROM walk, LATERAL (
+        SELECT reading[used + 1:used + k] FROM (VALUES (1), (2)) AS sizes(k) WHERE regexp_matches(term[pos + 1], '{CONSONANT}') AND used + k <= len(reading) - (len(term) - pos - 1)
+        UNION ALL SELECT term[pos + 1] WHERE NOT regexp_matches(term[pos + 1], '{CONSONANT}')
+    ) AS o(r)
+    WHERE pos < len(term) AND substr(reading, used + 1, len(o.r)) = o.r
+), ways AS (SELECT term, n, path FROM walk WHERE pos = len(term) AND used = len(reading)
+), spots AS (SELECT term, n, path, unnest(string_split(term, '')) AS symbol, unnest(path) AS part FROM ways
+), parts AS (SELECT * FROM spots WHERE regexp_matches(symbol, '{CONSONANT}')
+), {', '.join(_round_sql(i) for i in range(ROUNDS + 1))}
+SELECT symbol, part, round(share, 6) AS share FROM shares{ROUNDS}"""
+
+
 def word_sentences(spark, sf_dir):
     """Turns of conversations as running text without spaces, and the dictionary's words of three letters or more in them."""
     texts = table(spark, sf_dir, "conversations").select(
@@ -135,4 +174,5 @@ QUERIES = {
         SELECT term, n, base AS "baseForm", family, CASE WHEN own IS NOT NULL THEN 0 WHEN second IS NOT NULL THEN 1 END AS hit,
             CASE WHEN own IS NOT NULL THEN own.conv_id ELSE second.conv_id END AS conv_id, CASE WHEN own IS NOT NULL THEN own.turn ELSE second.turn END AS turn FROM met"""),
     "word_sentences": Query(word_sentences, _SENTENCES_SQL),
+    "learned_readings": Query(learned_readings, _LEARNED_SQL),
 }
