@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lexforge.operators import joins
+from lexforge.operators import joins, matching, nesting
 from lexforge.operators.cascade import cascade_join
 from lexforge.operators.closure import carried, closure
 from lexforge.operators.inverted import holding_all, posting_lists
@@ -117,6 +117,39 @@ def test_a_text_meets_few_words(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("characters, shard", [(40, 3), (1 << 20, 5), (40, 1000)])
+def test_blocks_and_shards(spark, monkeypatch, characters, shard):
+    """Texts in small blocks and words in small shards find what all of them find at once; a word may be longer than 255 characters."""
+    monkeypatch.setattr(matching, "BLOCK_CHARACTERS", characters)
+    monkeypatch.setattr(matching, "SHARD_WORDS", shard)
+    monkeypatch.setattr(matching, "LISTED", 16)
+    rnd = random.Random(9)
+    words = {"".join(rnd.choice("ab🙂") for _ in range(rnd.randint(1, 9))) for _ in range(30)} | {"ab" * 200}
+    texts = {i: "".join(rnd.choice("ab🙂c") for _ in range(rnd.randint(1, 40))) for i in range(20)} | {100: "c" + "ab" * 450, 101: "c"}
+    df = spark.createDataFrame([*texts.items(), *texts.items()], "id int, text string").repartition(3)
+    got = {}
+    for r in words_in_texts(df, "id", "text", spark.createDataFrame([(w,) for w in words], "w string"), "w").collect():
+        got.setdefault(r.id, []).append((r.at, r.w))
+    want = {i: plain_words(t, words) for i, t in texts.items()}
+    assert {i: sorted(m) for i, m in got.items()} == {i: m for i, m in want.items() if m}
+
+
+def test_places_of_texts_do_not_become_rows(spark):
+    """What is shuffled for a text is the text, not a row for each of its places."""
+    df = spark.createDataFrame([(1, "ab00017x" * 500)], "id int, text string")
+    plan = words_in_texts(df, "id", "text", spark.createDataFrame([("ab00017x",)], "w string"), "w")._jdf.queryExecution().optimizedPlan().toString()
+    assert "char_length(_text" not in plan and "Join" not in plan
+
+
+def test_a_task_collects_few_long_lists(spark, monkeypatch):
+    """Lists are collected in as many tasks as their rows ask for, whatever the shuffle would choose."""
+    monkeypatch.setattr(nesting, "TASK_ROWS", 100)
+    df = spark.createDataFrame([(i % 40, i) for i in range(4000)], "k int, v int")
+    lists = nesting.nest(df, "k", F.col("v"), "vs", part_rows=50)
+    assert lists.rdd.getNumPartitions() == 40
+    assert sorted((r.k, r.part, r.vs) for r in lists.collect()) == [(k, p, list(range(k, 4000, 40))[50 * p:50 * p + 50]) for k in range(40) for p in range(2)]
+
+
 def test_longest_matches_of_nothing(spark):
     assert spark.range(1).select(longest_matches(F.array().cast("array<struct<at:int,size:int,word:string>>"))).first()[0] == []
 
