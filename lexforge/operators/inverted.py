@@ -9,15 +9,19 @@ from lexforge.operators.joins import lookup_join
 from lexforge.operators.materialize import materialize
 from lexforge.operators.nesting import nest
 
+# a task keeps about so many pairs in memory to find repeated ones
+DISTINCT_ROWS = 500_000
+
 
 def posting_lists(pairs: DataFrame, key: str, item: str, out: str = "keys", part_rows: int | None = None) -> DataFrame:
     """(item, part, n, keys): the keys that hold each item, in order; n counts all of them.
 
     A list that is too long for one row goes on in further parts. Pairs with a null end and repeated ones don't count.
     """
-    once = pairs.select(item, key).filter(F.col(item).isNotNull() & F.col(key).isNotNull()).distinct()
+    given = materialize(pairs.select(item, key).filter(F.col(item).isNotNull() & F.col(key).isNotNull()), "given")
+    once = materialize(given.repartition(max(1, -(-given.count() // DISTINCT_ROWS)), item, key).distinct(), "pairs")
     lists = materialize(nest(once, item, F.col(key), out, part_rows=part_rows), "postings")
-    sizes = lists.groupBy(item).agg(F.sum(F.size(out)).cast("long").alias("n"))
+    sizes = once.groupBy(item).agg(F.count("*").alias("n"))
     return lists.join(sizes, item).select(item, "part", "n", out)
 
 

@@ -13,6 +13,8 @@ from lexforge.operators.materialize import materialize
 from lexforge.operators.ranking import number_rows
 
 PART_ROWS = 50_000
+# A task that collects lists holds about so many rows of them at once.
+TASK_ROWS = 2 * PART_ROWS
 
 
 def nest(df: DataFrame, key: str, item: Column, out: str, order: Sequence[Column] = (),
@@ -22,13 +24,16 @@ def nest(df: DataFrame, key: str, item: Column, out: str, order: Sequence[Column
     A key with more than ``part_rows`` rows continues on further rows, numbered by ``part`` from 0,
     so that no task has to hold the whole list of a hot key. All items are kept: the parts of a key, one
     after the other, are its whole list in the declared order, and all but the last hold ``part_rows`` items.
+    The lists are collected in as many tasks as their rows ask for, so that no task holds many long lists. The
+    table is read several times.
     """
     part_rows = part_rows or PART_ROWS
     sorting = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], item.alias("_item")).alias("_s")
     # keys go by their hash, which is never null; two keys that share one are numbered each on its own
     rows = df.select(key, F.xxhash64(key).alias("_hash"), sorting)
-    counts = rows.groupBy("_hash").agg(F.count("*").alias("_n")).filter(F.col("_n") > part_rows)
-    hot = materialize(counts.select("_hash", F.lit(True).alias("_long")), "hot")
+    counts = materialize(rows.groupBy("_hash").agg(F.count("*").alias("_n")), "counts")
+    tasks = max(1, -(-(counts.agg(F.sum("_n")).first()[0] or 0) // max(TASK_ROWS, 2 * part_rows)))
+    hot = materialize(counts.filter(F.col("_n") > part_rows).select("_hash", F.lit(True).alias("_long")), "hot")
     if hot.isEmpty():
         parted = rows.withColumn(part, F.lit(0))
     else:
@@ -37,7 +42,7 @@ def nest(df: DataFrame, key: str, item: Column, out: str, order: Sequence[Column
         numbered = number_rows(known.filter("_long").select(key, "_s"), [F.col("_s").asc()], [key])
         cut = numbered.select(key, "_s", F.expr(f"int((position - 1) div {int(part_rows)})").alias(part))
         parted = known.filter("_long is null").select(key, "_s", F.lit(0).alias(part)).unionByName(cut)
-    nested = parted.groupBy(key, part).agg(F.sort_array(F.collect_list("_s")).alias(out))
+    nested = parted.repartition(tasks, key, part).groupBy(key, part).agg(F.sort_array(F.collect_list("_s")).alias(out))
     return nested.withColumn(out, F.transform(out, lambda x: x["_item"]))
 
 
