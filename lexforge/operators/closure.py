@@ -43,9 +43,9 @@ def carried(items: DataFrame, item: str, node: str, edges: DataFrame, source: st
 
     ``items`` holds (item, node) and ``values`` (node, value); the aggregates name the value's column. An item none of whose nodes has a value keeps a row of nulls and zeros.
     """
-    own = items.select(F.col(item).alias("_item"), F.col(node).alias("_node")).distinct()
+    own = materialize(items.select(F.col(item).alias("_item"), F.col(node).alias("_node")).distinct(), "own")
     reached = closure(edges, source, target, most=most).select(F.col(source).alias("_node"), F.col(target).alias("_reached"))
     below = lookup_join(own, materialize(reached, "reached"), ["_node"], "inner").select("_item", F.col("_reached").alias("_node"))
-    nodes = own.union(below).distinct()
+    nodes = materialize(own.union(below).distinct(), "nodes")
     valued = lookup_join(nodes, values.select(F.col(node).alias("_node"), F.col(value).alias(value)), ["_node"])
     return valued.groupBy(F.col("_item").alias(item)).agg(*summaries)

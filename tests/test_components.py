@@ -57,6 +57,14 @@ def test_carried_values(spark, bounds):
     assert got == {1: (4, 1, 3.0), 2: (1, None, None), 3: (4, 1, 3.0), None: (4, 1, 3.0)}
 
 
+def test_nodes_are_made_once(spark):
+    """What several steps read of the items and their nodes is written, not made again for each."""
+    edges, values = spark.createDataFrame([("x", "y")], "a string, b string"), spark.createDataFrame([("y", 1)], "node string, rank int")
+    found = carried(spark.createDataFrame([(1, "x")], "word int, node string"), "word", "node", edges, "a", "b", values, "rank", [F.count("*").alias("n")])
+    assert [tuple(r) for r in found.collect()] == [(1, 2)]
+    assert any("/nodes-" in f for f in found.inputFiles())
+
+
 def test_component_search(spark, bounds):
     rnd = random.Random(3)
     # component 0 is in all symbols, and one symbol holds none but it
