@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.symbols import characters
 from lexforge.operators import joins
+from lexforge.plans import learned
 from lexforge.plans.learned import learn_readings, splits
 
 SYMBOLS = "KHTS"
@@ -73,6 +74,16 @@ def test_learning_equals_the_plain_model(spark, monkeypatch, large):
         assert abs(count - counts[pair]) < 1e-6 and abs(share - shares[pair]) < 1e-9, pair
 
 
+def test_rounds_of_few_pairs_shuffle_no_ways(spark, monkeypatch):
+    """Pairs that fit a broadcast go to the ways: no round joins ways, and what is shuffled are sums of each task."""
+    monkeypatch.setattr(learned, "_counted_by_joins", None)
+    sent = []
+    counted = learned._counted
+    monkeypatch.setattr(learned, "_counted", lambda *a: sent.append(counted(*a)) or sent[-1])
+    learn(spark, corpus(), rounds=2, tolerance=0.0)
+    assert len(sent) == 3 and not any("Join" in c._jdf.queryExecution().optimizedPlan().toString() for c in sent)
+
+
 def test_planted_readings_are_found(spark):
     got = learn(spark, corpus(), rounds=12)
     for c, readings in READINGS.items():
