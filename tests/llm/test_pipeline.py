@@ -68,3 +68,18 @@ def test_all_tokens_are_packed(stages, library):  # noqa: F811
     docs = [(r.doc_id, r.text) for r in stages[4].collect()]
     whole = check_pieces(stages[5].collect(), docs, library, 4096)
     assert np.count_nonzero(np.array(whole) == 2) >= len(docs)
+
+
+def test_stage_cuts_passages_that_the_smallest_text_does_not_hold(spark):
+    """A passage of one word, and one beside words that stand elsewhere in the other text, leave the larger text in the stage."""
+    own = lambda name, n: [f"{name}x{i}" for i in range(n)]
+    docs = {key: own(f"a{key}", 60) + ["z"] * times + own(f"b{key}", 60) for key, times in [(101, 80), (102, 120)] + [(k, 49) for k in range(12)]}
+    passage, before = own("p", 50), own("q", 5)
+    docs[201] = passage + own("c", 200) + before + passage[:4]
+    docs[202] = before + passage + own("d", 30)
+    rows = [(k, " ".join(v), "en", "web", len(" ".join(v))) for k, v in docs.items()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    after = {r.doc_id: r for r in corpus_pipeline.without_repeated_passages(spark, df, SF).collect()}
+    want = docs | {102: own("a102", 60) + own("b102", 60), 202: before + own("d", 30)}
+    assert {k: r.text.split() for k, r in after.items()} == want
+    assert all(r.n_chars == len(r.text) for r in after.values())
